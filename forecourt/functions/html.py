@@ -17,7 +17,7 @@ from forecourt import fixed_values as fixed
 from forecourt.functions.staging import bind
 from forecourt.functions.text import decode_entities, visible_text
 
-_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+_HIDDEN = r"(?is)<(?:!--.*?--|script\b.*?</script\s*|style\b.*?</style\s*)>"
 _HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 _ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
 _HEAD = r"(?is)<th\b[^>]*>(.*?)</th\s*>"
@@ -52,15 +52,25 @@ def page_links(html: Column, contains: str, more_parts_than: int) -> Column:
 
 def spec_entries(page: Column) -> Column:
     """Array of (label, value), one per row of a rendered page that has a header and a cell."""
-    rows = F.filter(
+    rows = F.transform(
         F.regexp_extract_all(page, F.lit(_ROW), F.lit(1)),
-        lambda row: row.rlike(_HEAD) & row.rlike(_CELL),
+        lambda row: F.struct(
+            row.alias("row"),
+            F.regexp_extract(row, _HEAD, 1).alias("head"),
+            F.regexp_extract(row, _CELL, 1).alias("cell"),
+        ),
     )
+
+    def both_present(row: Column) -> Column:
+        # Nothing extracted is either an empty cell or none.
+        head = (row["head"] != "") | row["row"].rlike(_HEAD)
+        return head & ((row["cell"] != "") | row["row"].rlike(_CELL))
+
     return F.transform(
-        rows,
+        F.filter(rows, both_present),
         lambda row: F.struct(
-            F.lower(visible_text(F.regexp_extract(row, _HEAD, 1))).alias("label"),
-            visible_text(F.regexp_extract(row, _CELL, 1)).alias("value"),
+            F.lower(visible_text(row["head"])).alias("label"),
+            visible_text(row["cell"]).alias("value"),
         ),
     )
 
@@ -77,7 +87,13 @@ def spec_map(entries: Column) -> Column:
             ),
         )
 
-    return F.map_from_entries(bind(entries, last_only))
+    def without_repeats(all_entries: Column) -> Column:
+        labels = all_entries.getField("label")
+        return F.when(F.size(F.array_distinct(labels)) == F.size(labels), all_entries).otherwise(
+            last_only(all_entries)
+        )
+
+    return F.map_from_entries(bind(entries, without_repeats))
 
 
 def first_spec(specs: Column, labels: Sequence[str], default: str) -> Column:

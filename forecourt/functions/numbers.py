@@ -18,6 +18,7 @@ _FLOAT_TEXT = (
     r"(?i)^[+-]?(([0-9](_?[0-9])*)?\.[0-9](_?[0-9])*|[0-9](_?[0-9])*\.?)(e[+-]?[0-9](_?[0-9])*)?$"
 )
 _FLOAT_WORD = r"(?i)^[+-]?(nan|inf|infinity)$"
+_PLAIN_FLOAT = r"^[0-9]+(?:\.[0-9]+)?$"
 
 
 def _plain_digits(text: Column) -> Column:
@@ -25,9 +26,12 @@ def _plain_digits(text: Column) -> Column:
 
 
 def int_from_text(text: Column) -> Column:
-    """`' 12 '` -> 12, `'12.0'` -> NULL, out of INT range -> NULL."""
+    """`' 12 '` -> 12, `'1_000'` -> 1000, `'12.0'` -> NULL, out of INT range -> NULL."""
     clean = strip_space(text)
-    return F.when(clean.rlike(_INT_TEXT), _plain_digits(clean).try_cast("int"))
+    # Almost every number passes the plain cast; only the rest is looked at closely.
+    return F.coalesce(
+        text.try_cast("int"), F.when(clean.rlike(_INT_TEXT), _plain_digits(clean).try_cast("int"))
+    )
 
 
 def float_from_text(text: Column) -> Column:
@@ -37,8 +41,10 @@ def float_from_text(text: Column) -> Column:
     special = F.when(word == "nan", F.lit(float("nan"))).when(
         clean.startswith("-"), F.lit(float("-inf"))
     ).otherwise(F.lit(float("inf")))
-    return F.when(clean.rlike(_FLOAT_TEXT), _plain_digits(clean).try_cast("double")).when(
-        clean.rlike(_FLOAT_WORD), special
+    return (
+        F.when(text.rlike(_PLAIN_FLOAT), text.try_cast("double"))
+        .when(clean.rlike(_FLOAT_TEXT), _plain_digits(clean).try_cast("double"))
+        .when(clean.rlike(_FLOAT_WORD), special)
     )
 
 
@@ -103,11 +109,6 @@ def optional_int(value: Column, dtype: T.DataType) -> Column:
     return F.when(is_set(value, dtype), read_int(value, dtype))
 
 
-def unreadable_int(value: Column, dtype: T.DataType) -> Column:
-    """True when a value is set but is not a whole number."""
-    return is_set(value, dtype) & read_int(value, dtype).isNull()
-
-
 def int_with_unit(text: Column, unit: str) -> Column:
     """`'471 CC'` -> 471 with unit CC; anything but bare digits beside the unit -> NULL."""
     digits = strip_space(F.replace(F.upper(text), F.lit(unit.upper()), F.lit("")))

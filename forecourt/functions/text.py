@@ -9,12 +9,12 @@ from forecourt.fixed_values import HTML_ENTITIES
 from forecourt.functions.staging import bind
 
 # Everything Unicode counts as white space; Spark's own trim only removes blanks.
-_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
+_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def strip_space(text: Column) -> Column:
     """Remove any Unicode white space at both ends."""
-    return F.regexp_replace(text, f"^{_SPACE}|{_SPACE}$", "")
+    return F.btrim(text, F.lit(_SPACE))
 
 
 def strip_tags(markup: Column) -> Column:
@@ -69,4 +69,14 @@ def decode_entities(text: Column) -> Column:
 
 def visible_text(markup: Column) -> Column:
     """Text of a piece of markup: no tags, entities decoded, ends stripped."""
-    return bind(strip_tags(markup), lambda text: strip_space(decode_entities(text)))
+
+    def only_if(text: Column, sign: str, cleaned: Column) -> Column:
+        return F.when(F.contains(text, F.lit(sign)), cleaned).otherwise(text)
+
+    return bind(
+        bind(
+            only_if(markup, "<", strip_tags(markup)),
+            lambda text: only_if(text, "&", decode_entities(text)),
+        ),
+        strip_space,
+    )

@@ -54,8 +54,8 @@ def parse_feed(records: DataFrame) -> DataFrame:
     def optional(name: str) -> Column:
         return numbers.optional_int(F.col(name), types[name])
 
-    def broken(name: str) -> Column:
-        return numbers.unreadable_int(F.col(name), types[name])
+    def given(name: str) -> Column:
+        return numbers.is_set(F.col(name), types[name]).alias(f"_{name}_given")
 
     carried = [c for c in (schema.DATE,) if c in types]
     typed = records.select(
@@ -75,14 +75,19 @@ def parse_feed(records: DataFrame) -> DataFrame:
         numbers.read_flag(F.col("deductible_vat"), types["deductible_vat"]).alias("iva_deducible"),
         F.lit(fixed.FEED_SOURCE).alias("origen"),
         *carried,
-        (broken("cc") | broken("num_seats") | broken("num_keys")).alias("_broken_option"),
+        given("cc"), given("num_seats"), given("num_keys"),
+    )
+    broken_option = (
+        (F.col("_cc_given") & F.col("cilindrada_cc").isNull())
+        | (F.col("_num_seats_given") & F.col("num_plazas").isNull())
+        | (F.col("_num_keys_given") & F.col("num_llaves").isNull())
     )
     unreadable = (
         F.when(F.col("url_anuncio").isNull(), "no_id")
         .when(F.col("anio").isNull(), "bad_year")
         .when(F.col("km").isNull(), "bad_km")
         .when(F.col("precio").isNull(), "bad_price")
-        .when(F.col("_broken_option"), "bad_option")
+        .when(broken_option, "bad_option")
     )
     return _in_bronze_layout(typed, unreadable)
 
