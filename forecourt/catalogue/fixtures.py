@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.operators import extract, gold, silver
+from forecourt.sources import sinks, tables
+from forecourt.sources.scratch import scratch_folder
 
 AS_OF_YEAR = 2024
 
@@ -190,6 +192,16 @@ class Inputs:
     def gold(self) -> DataFrame:
         return gold.to_gold(self.silver, AS_OF_YEAR)
 
+    @cached_property
+    def stored_gold(self) -> DataFrame:
+        """The feature table written and read back, as training finds it.
+
+        Fitting, splitting and scoring each read it; none recomputes the layers.
+        """
+        folder = scratch_folder(self.spark, "gold")
+        sinks.overwrite(self.gold, folder)
+        return tables.read_table(self.spark, folder)
+
     @staticmethod
     def quarter(df: DataFrame) -> DataFrame:
         """Ingestion dates moved to the start of their quarter: a few dozen batches."""

@@ -198,8 +198,9 @@ _METRICS = """round(sqrt(avg(error_absoluto * error_absoluto)), 4) AS rmse,
  round(avg(error_absoluto), 4) AS mae,
  round(1 - sum(error_absoluto * error_absoluto) / (var_pop(CAST(precio AS DOUBLE)) * count(*)), 6)
  AS r2"""
-# Two decimals, halves up, from a value free of binary noise.
-_TWO = "CAST(round(CAST({0} AS DECIMAL(18, 8)), 2) AS DOUBLE) AS {0}"
+# Few decimals, halves up, from a value free of binary noise.
+_TWO = "CAST(round(CAST({0} AS DECIMAL(38, 8)), 2) AS DOUBLE) AS {0}"
+_FOUR = "CAST(round(CAST({0} AS DECIMAL(38, 8)), 4) AS DOUBLE) AS {0}"
 
 
 def _metrics_of(source: str) -> str:
@@ -381,9 +382,9 @@ SELECT {_METRICS}, count(*) AS rows FROM predicted"""),
 SELECT marca, modelo, tipo_normalizado, cilindrada_cc, anio, km,
  round(CAST(precio AS DOUBLE), 2) AS precio, {_TWO.format('prediction')}, url_anuncio
 FROM predicted ORDER BY md5('42|' || url_anuncio), url_anuncio LIMIT 50"""),
-    "prediction_errors": _sql("predicted", body="""
-SELECT url_anuncio, round(error_absoluto, 4) AS error_absoluto,
- round(error_porcentual, 4) AS error_porcentual FROM predicted"""),
+    "prediction_errors": _sql("predicted", body=f"""
+SELECT url_anuncio, {_FOUR.format('error_absoluto')}, {_FOUR.format('error_porcentual')}
+FROM predicted"""),
     "model_roundtrip": _sql("train_all", body="""
 SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing FROM train_all WHERE is_test"""),
 }

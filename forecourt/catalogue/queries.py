@@ -464,7 +464,7 @@ def guards(d: Inputs) -> DataFrame:
 # --- learning ----------------------------------------------------------------
 
 def training_frame(d: Inputs, source: str = "all") -> DataFrame:
-    return split.training_rows(d.gold, source)
+    return split.training_rows(d.stored_gold, source)
 
 
 LEARNED = [*fixed.CATEGORY_COLUMNS, *fixed.NUMERIC_COLUMNS, "precio", "url_anuncio"]
@@ -506,13 +506,10 @@ def train_test_split(d: Inputs) -> DataFrame:
 
 
 def fitted(d: Inputs, stages: list) -> tuple[PipelineModel, DataFrame]:
-    """Stages fitted on the training side, applied to all rows."""
-    rows = training_frame(d).persist()
-    try:
-        train, _ = split.split(rows)
-        return Pipeline(stages=stages).fit(train), training_frame(d)
-    finally:
-        rows.unpersist()
+    """Stages fitted on the training side, and all rows."""
+    rows = training_frame(d)
+    train, _ = split.split(rows)
+    return Pipeline(stages=stages).fit(train), rows
 
 
 @query
@@ -560,14 +557,12 @@ def feature_vector(d: Inputs) -> DataFrame:
 
 def trained(d: Inputs, model) -> tuple[PipelineModel, DataFrame]:
     """A small model fitted on the training side, and the held-out rows."""
-    rows = training.stable_layout(shown(training_frame(d), [*LEARNED, "modelo"])).persist()
+    train, test = split.split(shown(training_frame(d), [*LEARNED, "modelo"]))
+    rows = training.stable_layout(train).persist()
     try:
-        train, _ = split.split(rows)
-        fitted_model = training.price_pipeline(model).fit(train)
+        return training.price_pipeline(model).fit(rows), test
     finally:
         rows.unpersist()
-    _, test = split.split(shown(training_frame(d), [*LEARNED, "modelo"]))
-    return fitted_model, test
 
 
 def small_forest():
@@ -626,8 +621,8 @@ def sample_predictions(d: Inputs) -> DataFrame:
 @query
 def prediction_errors(d: Inputs) -> DataFrame:
     return evaluation.with_errors(mean_predictions(d)).select(
-        "url_anuncio", F.round("error_absoluto", 4).alias("error_absoluto"),
-        F.round("error_porcentual", 4).alias("error_porcentual"),
+        "url_anuncio", evaluation.rounded("error_absoluto", 4),
+        evaluation.rounded("error_porcentual", 4),
     )
 
 

@@ -15,20 +15,21 @@ from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
 from forecourt.functions.staging import bind
-from forecourt.functions.text import decode_entities, visible_text
+from forecourt.functions.text import SPACE, decode_entities, visible_text
 
 _HIDDEN = r"(?is)<(?:!--.*?--|script\b.*?</script\s*|style\b.*?</style\s*)>"
 _HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 _ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
-_HEAD = r"(?is)<th\b[^>]*>(.*?)</th\s*>"
-_CELL = r"(?is)<td\b[^>]*>(.*?)</td\s*>"
+# Ends are stripped while matching: most cells then need nothing more.
+_HEAD = rf"(?is)<th\b[^>]*>{SPACE}*+(.*?){SPACE}*</th\s*>"
+_CELL = rf"(?is)<td\b[^>]*>{SPACE}*+(.*?){SPACE}*</td\s*>"
 
 
 def _with_class(name: str) -> str:
     return rf"""<\w+\b[^>]*?\sclass\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'][^>]*>"""
 
 
-_PRICE = rf"(?is){_with_class('price')}.*?{_with_class('amount')}.*?<bdi\b[^>]*>(.*?)</bdi\s*>"
+_PRICE = rf"(?is){_with_class('price')}.*?{_with_class('amount')}.*?<bdi\b[^>]*>{SPACE}*+(.*?){SPACE}*</bdi\s*>"
 
 
 def rendered(html: Column) -> Column:
@@ -114,7 +115,7 @@ def kind_segment(url: Column, default: str = fixed.OTHER_KIND) -> Column:
 
 def slug_brand(url: Column, default: str = fixed.UNKNOWN_BRAND) -> Column:
     """Upper-cased start of the last address part, up to its first dash."""
-    slug = F.element_at(F.split(F.btrim(url, F.lit("/")), "/"), -1)
-    return F.when(F.contains(slug, F.lit("-")), F.upper(F.split(slug, "-")[0])).otherwise(
+    slug = F.substring_index(F.btrim(url, F.lit("/")), "/", -1)
+    return F.when(F.contains(slug, F.lit("-")), F.upper(F.substring_index(slug, "-", 1))).otherwise(
         F.lit(default)
     )

@@ -18,7 +18,7 @@ _FLOAT_TEXT = (
     r"(?i)^[+-]?(([0-9](_?[0-9])*)?\.[0-9](_?[0-9])*|[0-9](_?[0-9])*\.?)(e[+-]?[0-9](_?[0-9])*)?$"
 )
 _FLOAT_WORD = r"(?i)^[+-]?(nan|inf|infinity)$"
-_PLAIN_FLOAT = r"^[0-9]+(?:\.[0-9]+)?$"
+_PLAIN_FLOAT = r"^ *[0-9]+(?:\.[0-9]+)? *$"
 
 
 def _plain_digits(text: Column) -> Column:

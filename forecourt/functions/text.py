@@ -9,12 +9,13 @@ from forecourt.fixed_values import HTML_ENTITIES
 from forecourt.functions.staging import bind
 
 # Everything Unicode counts as white space; Spark's own trim only removes blanks.
-_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_SPACE_CHARACTERS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 
 
 def strip_space(text: Column) -> Column:
     """Remove any Unicode white space at both ends."""
-    return F.btrim(text, F.lit(_SPACE))
+    return F.btrim(text, F.lit(_SPACE_CHARACTERS))
 
 
 def strip_tags(markup: Column) -> Column:
@@ -68,15 +69,12 @@ def decode_entities(text: Column) -> Column:
 
 
 def visible_text(markup: Column) -> Column:
-    """Text of a piece of markup: no tags, entities decoded, ends stripped."""
+    """Text of a stripped piece of markup: no tags, entities decoded, ends stripped again.
 
-    def only_if(text: Column, sign: str, cleaned: Column) -> Column:
-        return F.when(F.contains(text, F.lit(sign)), cleaned).otherwise(text)
-
-    return bind(
-        bind(
-            only_if(markup, "<", strip_tags(markup)),
-            lambda text: only_if(text, "&", decode_entities(text)),
-        ),
-        strip_space,
+    Plain text, the usual case, is returned as it is.
+    """
+    is_plain = ~(F.contains(markup, F.lit("<")) | F.contains(markup, F.lit("&")))
+    cleaned = bind(
+        bind(strip_tags(markup), decode_entities), strip_space
     )
+    return F.when(is_plain, markup).otherwise(cleaned)

@@ -78,6 +78,13 @@ def test_unseen_and_null_labels_have_no_slot(spark, priced):
     assert first.select(features.hot_slot("marca_ohe")).first()[0] == 0
 
 
+def test_label_lists_are_bounded(priced):
+    rows = split.training_rows(priced)
+    features.require_bounded_labels(rows, 1000)
+    with pytest.raises(features.TooManyLabels, match="marca"):
+        features.require_bounded_labels(rows, 5)
+
+
 def test_assembler_skips_missing_numbers(priced):
     rows = split.training_rows(priced)
     model = Pipeline(stages=features.stages()).fit(rows)
