@@ -120,11 +120,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores and _is_small(df) else df
-
-
-def _is_small(df: DataFrame) -> bool:
-    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 class Inputs:
