@@ -1,0 +1,16 @@
+"""The queries of the training-data operators, and their SQL twins."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from forecourt.llm import passages, suffixes
+
+REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_suffix_dedup": suffixes.query,
+    "op10_passage_dedup": passages.query,
+}
+
+ORACLES: dict[str, str] = {}
