@@ -4,13 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import passages, suffixes
+from forecourt.llm import (
+    chat,
+    decontaminate,
+    extract_html,
+    mixing,
+    neardup,
+    passages,
+    quality,
+    suffixes,
+    tokens,
+    urls,
+)
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": urls.query,
+    "op2_entropy_mix": mixing.query,
+    "op3_decontaminate": decontaminate.query,
+    "op4_quality_rules": quality.query,
+    "op5_token_files": tokens.query,
+    "op6_near_duplicates": neardup.query,
+    "op7_chat_format": chat.query,
+    "op8_html_text": extract_html.query,
     "op9_suffix_dedup": suffixes.query,
     "op10_passage_dedup": passages.query,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+# Where there is none, tests hold the query against a brute-force version.
+ORACLES: dict[str, str] = {
+    "op3_decontaminate": decontaminate.ORACLE_SQL,
+    "op6_near_duplicates": neardup.ORACLE_SQL,
+    "op7_chat_format": chat.ORACLE_SQL,
+}
