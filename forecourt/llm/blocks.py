@@ -91,11 +91,32 @@ def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
             yield Block(batch.slice(i, 1).to_pylist()[0])
 
 
-def parts_for(blocks: DataFrame, per_byte: float) -> int:
+def total_bytes(blocks: DataFrame) -> int:
+    return blocks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+
+
+def parts_for(blocks: DataFrame, n_bytes: float) -> int:
     """How many ranges keep one range's questions near RANGE_BYTES, and all cores busy."""
-    total = blocks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     least = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, int(total * per_byte / RANGE_BYTES) + 1)
+    return max(least, int(n_bytes / RANGE_BYTES) + 1)
+
+
+def planes(values: np.ndarray) -> bytes:
+    """64-bit numbers byte plane by byte plane: equal high bytes vanish in the shuffle's compression."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def from_planes(held: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(held, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def gaps(keys: np.ndarray) -> bytes:
+    """Ascending fingerprints as planes of their differences."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def from_gaps(held: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(held, np.uint64), dtype=np.uint64)
 
 
 Asker = Callable[[Block], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -110,6 +131,9 @@ def ask(blocks: DataFrame, asker: Asker, rule: str, parts: int) -> DataFrame:
     low is below the greatest high) or `earlier` (some low is below its own).
     """
 
+    def packed(numbers: np.ndarray) -> bytes:
+        return planes(numbers) if numbers.dtype == np.int64 else numbers.tobytes()
+
     def submit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = np.uint64((2**64 - 1) // parts + 1)
         for block in blocks_of(batches):
@@ -119,7 +143,7 @@ def ask(blocks: DataFrame, asker: Asker, rule: str, parts: int) -> DataFrame:
             part = (keys // width).astype(np.int64)
             cuts = np.flatnonzero(np.diff(part)) + 1
             edges = [0, *cuts.tolist(), len(keys)]
-            rows = [(block.number, int(part[a]), keys[a:b].tobytes(), low[a:b].tobytes(), high[a:b].tobytes())
+            rows = [(block.number, int(part[a]), gaps(keys[a:b]), *(packed(x[a:b]) for x in (low, high)))
                     for a, b in zip(edges, edges[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ASK, strict=True)], schema=_ASK)
@@ -134,27 +158,26 @@ def ask(blocks: DataFrame, asker: Asker, rule: str, parts: int) -> DataFrame:
     )
 
 
-def _numbers(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in column.to_pylist())])
-
-
 def _judged(table: pa.Table, rule: str) -> pa.Table:
     """The bits of one range of fingerprints."""
-    sizes = [len(x) // 8 for x in table.column("fingerprints").to_pylist()]
-    keys = _numbers(table.column("fingerprints"), np.uint64)
+    def numbers(name: str) -> np.ndarray:
+        return np.concatenate([from_planes(x, np.int64) for x in table.column(name).to_pylist()])
+
+    held = [from_gaps(x) for x in table.column("fingerprints").to_pylist()]
+    sizes = [len(x) for x in held]
+    keys = np.concatenate(held)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     group = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(keys))))
     if rule == "twice":
-        low = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x, np.uint8) for x in table.column("low").to_pylist())])
+        low = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("low").to_pylist()])
         verdict = (np.add.reduceat(low[order].astype(np.int64), begins) >= 2)[group]
     else:
-        low = _numbers(table.column("low"), np.int64)[order]
+        low = numbers("low")[order]
         least = np.minimum.reduceat(low, begins)
         if rule == "shared":
-            high = _numbers(table.column("high"), np.int64)[order]
-            verdict = (least < np.maximum.reduceat(high, begins))[group]
+            verdict = (least < np.maximum.reduceat(numbers("high")[order], begins))[group]
         else:
             verdict = least[group] < low
     bits = np.empty(len(verdict), bool)

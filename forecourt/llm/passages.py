@@ -129,9 +129,10 @@ def remove_passages(
     """Per document: key, n_words, n_removed, kept (the words left, joined by one space)."""
     passages = Passages(length, min(seed, length))
     blocks = bl.pack(docs, key, text, "passage_blocks")
-    parts = bl.parts_for(blocks, 0.3)
+    total = bl.total_bytes(blocks)
+    parts = bl.parts_for(blocks, 0.3 * total)
     one = bl.answered(blocks, bl.held(bl.ask(blocks, passages.ask_anchors, "shared", parts)))
-    found = bl.ask(one, passages.ask_windows, "earlier", bl.parts_for(blocks, 1))
+    found = bl.ask(one, passages.ask_windows, "earlier", bl.parts_for(blocks, total))
     two = one.join(bl.matched(bl.held(found), 1), "block", "left")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -68,8 +68,10 @@ def cover_for(length: int) -> tuple[int, list[int]]:
 class Cover:
     """The strings of `length` bytes in one block, and the sample strings inside them."""
 
-    def __init__(self, length: int) -> None:
+    def __init__(self, length: int, total: int = 1 << 52) -> None:
         self.length = length
+        # Ranks of samples only rule suffixes out, so a few bits beyond the number of samples do.
+        self.coarse = ~np.uint64((1 << max(0, 64 - total.bit_length() - 12)) - 1)
         self.modulus, residues = cover_for(length)
         self.sample = length - self.modulus + 1
         self.member = np.zeros(self.modulus, bool)
@@ -84,12 +86,15 @@ class Cover:
         return np.flatnonzero(self.member[at % self.modulus] & (left >= self.sample) & long_enough)
 
     def ask_samples(self, block: bl.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return _counted(words.windows(block.data, self.places(block), self.sample))[:3]
+        return _counted(self.sampled(block, self.places(block)))
+
+    def sampled(self, block: bl.Block, places: np.ndarray) -> np.ndarray:
+        return words.windows(block.data, places, self.sample) & self.coarse
 
     def windows(self, block: bl.Block) -> np.ndarray:
         """Starts of the strings that hold a tied sample string."""
         places = self.places(block)
-        keys = words.windows(block.data, places, self.sample)
+        keys = self.sampled(block, places)
         tied = block.rounds[0][np.searchsorted(np.unique(keys), keys)] if len(keys) else np.zeros(0, bool)
         n = len(block.data)
         before = np.zeros(n + 1, np.int64)
@@ -101,7 +106,7 @@ class Cover:
         return starts[before[starts + self.modulus] > before[starts]]
 
     def ask_windows(self, block: bl.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return _counted(words.windows(block.data, self.windows(block), self.length))[:3]
+        return _counted(words.windows(block.data, self.windows(block), self.length))
 
     def marked(self, block: bl.Block) -> np.ndarray:
         """Which bytes go."""
@@ -122,12 +127,12 @@ def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200) -> DataFrame:
     """Per document: key, n_bytes, n_removed, n_spans (maximal removed runs), kept (the bytes left)."""
-    cover = Cover(length)
     blocks = bl.pack(docs, key, text, "suffix_blocks")
-    parts = bl.parts_for(blocks, 9 * cover.member.mean())
-    samples = bl.ask(blocks, cover.ask_samples, "twice", parts)
+    total = bl.total_bytes(blocks)
+    cover = Cover(length, total)
+    samples = bl.ask(blocks, cover.ask_samples, "twice", bl.parts_for(blocks, 8 * cover.member.mean() * total))
     one = bl.answered(blocks, bl.held(samples))
-    suffixes = bl.ask(one, cover.ask_windows, "twice", bl.parts_for(blocks, 3))
+    suffixes = bl.ask(one, cover.ask_windows, "twice", bl.parts_for(blocks, 3 * total))
     two = one.join(bl.matched(bl.held(suffixes), 1), "block", "left")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
