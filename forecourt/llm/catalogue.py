@@ -39,4 +39,6 @@ ORACLES: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE_SQL,
     "op6_near_duplicates": neardup.ORACLE_SQL,
     "op7_chat_format": chat.ORACLE_SQL,
+    "op9_suffix_dedup": suffixes.ORACLE_SQL,
+    "op10_passage_dedup": passages.ORACLE_SQL,
 }

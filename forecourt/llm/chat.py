@@ -9,7 +9,8 @@ template puts every turn between control strings:
 
 Control strings start with `<` or `[`.  In roles and texts each `<`, `[` and
 backslash is followed by one backslash, so none of them can spell a control
-string, and taking those backslashes away gives the text back.
+string, and taking those backslashes away gives the text back.  A line break in
+a role becomes `[n`.
 
 The loss mask is a list of character ranges of the formatted text: the content
 of each turn of the trained role.
@@ -82,7 +83,7 @@ class Visitor:
         self.length += len(piece)
 
     def turn(self, number: int, role: str, parts: list[dict]) -> None:
-        self.put(BEGIN + escape(role) + "\n")
+        self.put(BEGIN + escape(role).replace("\n", "[n") + "\n")
         start = self.length
         for part in parts:
             getattr(self, f"visit_{part['kind']}")(number, part)
@@ -146,13 +147,12 @@ def format_conversations(
 
 def parse(formatted: str) -> list[tuple[str, str]]:
     """(role, content) of each turn.  Content keeps placeholders; a text alone is given back as it was."""
-    body = formatted[len(OPEN): -len(CLOSE)]
-    turns = []
-    while body:
-        held, _, body = body[len(BEGIN):].partition(END)
-        role, _, content = held.partition("\n")
-        # A role with a line break of its own would hide where the content starts.
-        turns.append((unescape(role), unescape(content)))
+    at, turns = len(OPEN), []
+    while at < len(formatted) - len(CLOSE):
+        end = formatted.index(END, at)
+        role, _, content = formatted[at + len(BEGIN): end].partition("\n")
+        at = end + len(END)
+        turns.append((unescape(role.replace("[n", "\n")), unescape(content)))
     return turns
 
 
@@ -187,7 +187,8 @@ ORACLE_SQL = r"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
-long AS (SELECT *, length(regexp_replace(role || text, '[^<\[\\]', '', 'g')) AS specials FROM said)
+long AS (SELECT *, length(regexp_replace(role || text, '[^<\[\\]', '', 'g'))
+         + length(role) - length(replace(role, chr(10), '')) AS specials FROM said)
 SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,

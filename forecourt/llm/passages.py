@@ -156,3 +156,22 @@ def query(spark, sf_dir: str) -> DataFrame:
     """Every document of the table, with a digest of what is left of it."""
     out = remove_passages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (
+  SELECT r, doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS x
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM doc WHERE len(w) >= 50)),
+first AS (SELECT x, min(doc_id) AS f FROM win GROUP BY x),
+gone AS (SELECT DISTINCT r, unnest(range(s, s + 50)) AS place FROM win JOIN first USING (x) WHERE f < doc_id),
+word AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM doc),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY place) AS k FROM word ANTI JOIN gone USING (r, place) GROUP BY r),
+lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r) LEFT JOIN lost USING (r)
+"""

@@ -160,3 +160,32 @@ def query(spark, sf_dir: str) -> DataFrame:
     """Every document of the table, with a digest of what is left of it."""
     out = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Bytes as pairs of hexadecimal digits, which SQL can cut.
+ORACLE_SQL = """
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h,
+         octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+win AS (
+  SELECT r, s, md5(substring(h, 2 * s - 1, 400)) AS x
+  FROM (SELECT r, h, unnest(range(1, n - 198)) AS s FROM doc WHERE n >= 200)),
+repeated AS (SELECT x FROM win GROUP BY x HAVING count(*) > 1),
+marked AS (
+  SELECT r, s, CASE WHEN s - lag(s) OVER (PARTITION BY r ORDER BY s) <= 200 THEN 0 ELSE 1 END AS fresh
+  FROM win SEMI JOIN repeated USING (x)),
+span AS (
+  SELECT r, min(s) AS a, max(s) + 199 AS b
+  FROM (SELECT r, s, sum(fresh) OVER (PARTITION BY r ORDER BY s) AS g FROM marked) GROUP BY r, g),
+piece AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) + 1 AS f, a - 1 AS t FROM span
+  UNION ALL SELECT r, max(b) + 1, any_value(n) FROM span JOIN doc USING (r) GROUP BY r),
+kept AS (
+  SELECT r, string_agg(substring(h, CAST(2 * f - 1 AS BIGINT), CAST(2 * (t - f + 1) AS BIGINT)), '' ORDER BY f) AS k
+  FROM piece JOIN doc USING (r) WHERE t >= f GROUP BY r),
+cut AS (SELECT r, count(*) AS n, sum(b - a + 1) AS bytes FROM span GROUP BY r)
+SELECT doc_id, CAST(doc.n AS BIGINT) AS n_bytes, CAST(coalesce(cut.bytes, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(cut.n, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN cut.n IS NULL THEN h ELSE coalesce(k, '') END)) AS kept_sha256
+FROM doc LEFT JOIN cut USING (r) LEFT JOIN kept USING (r)
+"""

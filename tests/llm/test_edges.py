@@ -1,0 +1,380 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from forecourt.llm import (
+    chat,
+    components,
+    decontaminate,
+    extract_html,
+    mixing,
+    neardup,
+    passages,
+    quality,
+    staging,
+    suffixes,
+    tokens,
+    urls,
+    words,
+)
+
+LONG = " ".join(f"w{i % 997}x{i % 89}" for i in range(60_000))
+PROSE = " ".join(f"alpha{i} beta{i * 7 % 13}" for i in range(120))
+DDL = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, KEPT STRING, size STRING, id STRING, h STRING"
+
+
+def row(doc, text, source="s"):
+    return (doc, text, None, source, None, "mine", "mine", "mine", "mine")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [
+        row(1, PROSE), row(1, PROSE), row(2, PROSE.replace("alpha7 ", "omega ")), row(3, None, None), row(4, ""),
+        row(5, " \t\n "), row(None, PROSE), row(None, None), row(6, LONG), row(7, LONG, None), row(8, "one two", "t"),
+        row(9, "one two", "t"), row(10, "é" * 300 + " é", "ü"),
+    ]
+    return spark.createDataFrame(rows, DDL).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(odd):
+    return odd.filter("doc_id > 99")
+
+
+def same_rows(a, b):
+    return sorted(map(repr, a)) == sorted(map(repr, b))
+
+
+def test_quality(odd, none):
+    out = quality.judge(odd).collect()
+    assert len(out) == 13 and "kept" in quality.judge(odd).columns and "KEPT" not in quality.judge(odd).columns
+    by = {(r.doc_id, r.text): r for r in out}
+    assert by[(3, None)].n_words == 0 and by[(3, None)].base_failed and not by[(3, None)].kept
+    assert by[(6, LONG)].n_words == 60_000
+    kept = quality.keep(odd)
+    assert kept.columns == odd.columns and all(r.KEPT == "mine" for r in kept.collect())
+    assert quality.judge(none).count() == 0 and quality.keep(none).count() == 0
+
+
+def test_repeats_of_one_text():
+    text = "a b c d e f g h i j k l m n o p q r s t u v w x y z ".encode() * 4
+    data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    columns = quality.measure(data, offsets, quality.Limits())
+    assert columns[5][0] == 104 and columns[6][0] == 78
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=40), min_size=1, max_size=4), st.integers(2, 4))
+def test_longest_repeats_equal_brute_force(texts, least):
+    flat = np.array([v for t in texts for v in t], np.uint64)
+    docs = np.array([d for d, t in enumerate(texts) for _ in t], np.int64)
+    places, lengths = quality.longest_repeats(words.mix(flat + np.uint64(1)), docs, least)
+    want, base = {}, 0
+    for t in texts:
+        for i in range(len(t)):
+            best = max((n for j in range(len(t)) if j != i for n in range(least, len(t) + 1)
+                        if max(i, j) + n <= len(t) and t[i:i + n] == t[j:j + n]), default=0)
+            if best:
+                want[base + i] = best
+        base += len(t)
+    assert dict(zip(places.tolist(), lengths.tolist(), strict=True)) == want
+
+
+def test_near_duplicates(odd, none):
+    out = neardup.group(odd).collect()
+    assert len(out) == 13
+    of = {}
+    for r in out:
+        of.setdefault(r.id, []).append(r)
+    assert [r.component_id for r in of[1]] == [1, 1] and of[2][0].component_id == 1 and not of[2][0].kept
+    assert sorted(map(str, (r.component_id for r in of[None]))) == ["1", "None"]
+    assert of[3][0].n_shingles == 0 and of[3][0].kept and of[4][0].kept
+    assert of[7][0].component_id == 6 and of[9][0].component_id == 8 and of[8][0].n_shingles == 1
+    left = neardup.deduplicate(odd)
+    assert left.columns == odd.columns
+    assert sorted(str(r.doc_id) for r in left.collect()) == sorted(["1", "3", "4", "5", "None", "6", "8", "10"])
+    assert neardup.group(none).count() == 0 and neardup.deduplicate(none).count() == 0
+
+
+def test_a_large_group_of_near_copies_is_one_group(spark):
+    rng = np.random.default_rng(1)
+    base = [f"v{x}" for x in rng.integers(0, 10**6, 300)]
+
+    def copy(i):
+        text = list(base)
+        for at in rng.integers(0, 300, 2):
+            text[at] = f"n{i}"
+        return (i, " ".join(text))
+
+    docs = spark.createDataFrame([copy(i) for i in range(300)] + [(999, "quite another text " * 9)], "doc_id BIGINT, text STRING")
+    out = {r.id: r.component_id for r in neardup.group(docs).collect()}
+    assert {out[i] for i in range(300)} == {0} and out[999] == 999
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.range(400).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(4)
+    more = spark.createDataFrame([(1000, 1001), (1002, 1001)], "a BIGINT, b BIGINT")
+    out = dict(components.components(links.union(more)).collect())
+    assert len(out) == 404 and {out[i] for i in range(401)} == {0} and {out[i] for i in (1000, 1001, 1002)} == {1000}
+    assert components.components(links.limit(0)).count() == 0
+
+
+def test_decontamination(spark, odd, none):
+    items = spark.createDataFrame(
+        [(11, "Beta0 ALPHA1"), (2, PROSE[:150]), (None, "one two"), (5, None), (6, ""), (11, "Beta0 ALPHA1")],
+        "item_id BIGINT, text STRING")
+    out = decontaminate.report(odd, items).collect()
+    assert len(out) == 13
+    of = {}
+    for r in out:
+        of.setdefault(r.id, []).append(r)
+    assert [r["items"] for r in of[1]] == [["11", "2"]] * 2 and of[1][0].n_hit > 10
+    assert of[8][0].contaminated and of[8][0].n_hit == 2 and of[8][0].n_items == 0
+    assert not of[3][0].contaminated and of[3][0].n_words == 0
+    assert sorted(str(r.id) for r in out if r.contaminated) == ["1", "1", "2", "8", "9", "None"]
+    left = decontaminate.clean(odd, items)
+    assert left.columns == odd.columns and left.count() == 13 - 6
+    assert decontaminate.report(none, items).count() == 0
+    assert decontaminate.clean(odd, items.limit(0)).count() == 13
+    assert not any(r.contaminated for r in decontaminate.report(odd, items.limit(0)).collect())
+
+
+def test_mixing(odd, none):
+    out = mixing.mix(odd).collect()
+    assert len(out) == 13 and {r.source for r in out} == {"s", "t", "ü", None}
+    target = {r.source: r.target for r in out}
+    total = {r.source: r.source_size for r in out}
+    assert sum(target.values()) == pytest.approx(sum(total.values()))
+    assert all(target[s] <= 3 * total[s] + 1e-6 for s in target)
+    assert all(r.taken <= 3 * r.size for r in out)
+    again = mixing.mix(odd.repartition(7)).collect()
+    assert same_rows([(r.id, r.size, r.taken) for r in out], [(r.id, r.size, r.taken) for r in again])
+    mixed = mixing.mixed(odd)
+    assert mixed.columns == odd.columns and mixed.count() == sum(r.copies for r in out)
+    assert mixing.mix(none).count() == 0 and mixing.mixed(none).count() == 0
+
+
+def test_mixing_balances_many_documents(spark):
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 9)).alias("source"),
+        F.repeat(F.lit("word "), (1 + F.xxhash64("id") % 40 + 40).cast("int")).alias("text"))
+    out = mixing.mix(docs).groupBy("source", "target").agg(F.sum("taken").alias("taken")).collect()
+    assert all(abs(r.taken - r.target) <= 40 for r in out)
+
+
+def test_tokens(spark, odd, none):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokens.public_vocabulary())
+    out = sorted(tokens.encoded(odd, tokens.public_vocabulary()).collect(), key=lambda r: r.start)
+    assert [r.id for r in out] == [None, None, 1, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]
+    at = 0
+    for r in out:
+        assert r.start == at
+        at += r.n_tokens
+    assert next(r.n_tokens for r in out if r.id == 3) == 1
+    assert next(r.n_tokens for r in out if r.id == 6) == len(library.encode(LONG, add_special_tokens=False).ids) + 1
+    assert tokens.encoded(none, tokens.public_vocabulary()).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(max_size=60), min_size=1, max_size=6))
+def test_encoding_by_word_equals_the_library(texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts] + [
+        "Don't stop... we'll, 3.5, a.b. x., é. İstanbul ΣΑΣ\u00a0q\u2003r\u0085s e\u0301 A\u030a", "a.\u0301 b.. ,. I'd. 'S, o's."]
+    made = tokens.encoder(tokens.public_vocabulary())
+    ids, lengths = made.encode(*words.flat(pa.array(texts)))
+    want = [made.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 32), st.integers(0, 400), st.integers(0, 2**32))
+def test_packing_round_trip(bits, n, seed):
+    ids = np.random.default_rng(seed).integers(0, 2**bits, n).astype(np.uint32)
+    body = tokens.pack(ids, bits)
+    assert len(body) == -(-n * bits // 8) and (tokens.unpack(body, n, bits) == ids).all()
+
+
+def test_files_are_read_at_any_place(tmp_path):
+    from pyarrow import fs
+
+    rng = np.random.default_rng(3)
+    documents = [rng.integers(0, 50_000, n).astype(np.uint32) for n in (0, 70_000, 1, 200_000, 5)]
+    where = fs.LocalFileSystem()
+    with where.open_output_stream(str(tmp_path / "t")) as stream:
+        writer = tokens.Writer(stream, 16 + 1)
+        for i, ids in enumerate(documents):
+            writer.add([i if i else None], np.array([len(ids)]), ids)
+        writer.close()
+    with where.open_input_file(str(tmp_path / "t")) as stream:
+        reader = tokens.Reader(stream)
+        assert reader.numbers == [None, 1, 2, 3, 4] and reader.n_ids == sum(map(len, documents))
+        assert all((reader.document(k) == ids).all() for k, ids in enumerate(documents))
+        assert (reader.ids(69_990, 70_010) == np.concatenate(documents)[69_990:70_010]).all()
+
+
+def test_chat(spark):
+    ddl = "conv_id BIGINT, turn BIGINT, role STRING, text STRING, formatted STRING"
+    rows = [(1, 0, "user", "<s> [TURN]\\ [/TURN]", "x"), (1, 1, "assistant", None, "x"), (None, 0, None, "q", "x"),
+            (1, 1, "assistant", "b", "x"), (2, None, "assistant", "A" * 100_000, "x"), (2, 3, "sys[tem", "\\<\\", "x")]
+    out = {r.conv_id: r for r in chat.format_conversations(spark.createDataFrame(rows, ddl)).collect()}
+    assert chat.parse(out[1].formatted) == [("user", "<s> [TURN]\\ [/TURN]"), ("assistant", ""), ("assistant", "b")]
+    assert chat.parse(out[None].formatted) == [("", "q")]
+    assert chat.parse(out[2].formatted) == [("assistant", "A" * 100_000), ("sys[tem", "\\<\\")]
+    assert [out[1].formatted[s.start: s.end] for s in out[1].loss] == ["", "b"]
+    assert out[1].formatted.count("[TURN]") == 3 and out[1].formatted.count("[/TURN]") == 3
+    assert chat.format_conversations(spark.createDataFrame([], ddl)).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="ab<[\\/]>sTURN\n", max_size=9), st.text(alphabet="ab<[\\/]>sTURN\n", max_size=40)), max_size=5))
+def test_chat_escapes_are_reversible(turns):
+    visitor = chat.Visitor("assistant")
+    visitor.put(chat.OPEN)
+    for i, (role, text) in enumerate(turns):
+        visitor.turn(i, role, [{"kind": "text", "text": text}])
+    visitor.put(chat.CLOSE)
+    assert chat.parse("".join(visitor.pieces)) == turns
+
+
+def test_chat_parts(spark):
+    part = "struct<kind:string,text:string,reference:string,tokens:bigint>"
+    rows = [(1, 0, "user", [("text", "see ", None, None), ("image", None, "a.png", 256), ("audio", None, "b.wav", 40)]),
+            (1, 1, "assistant", [("document", None, "c.pdf", None), ("text", "<image>", None, None)])]
+    df = spark.createDataFrame(rows, f"conv_id BIGINT, turn BIGINT, role STRING, parts ARRAY<{part}>")
+    r = chat.format_conversations(df, parts="parts").first()
+    assert r.formatted == "<s>[TURN]user\nsee <image><audio>[/TURN][TURN]assistant\n<document><\\image>[/TURN]</s>"
+    assert [(a.turn, a.kind, a.reference, a.tokens) for a in r.attachments] == [
+        (0, "image", "a.png", 256), (0, "audio", "b.wav", 40), (1, "document", "c.pdf", 0)]
+    assert all(r.formatted[a.at:].startswith(chat.PLACEHOLDERS[a.kind]) for a in r.attachments)
+    assert r.expanded_tokens == 296
+
+
+PAGE = """<html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
+<header><h1>Site</h1></header><div id="main-menu"><a href=1>Home</a> <a href=2>About</a></div>
+<div class="cookie-notice">We use cookies, a long sentence about them that has no link in it at all.</div>
+<div class="wrap"><div class="story"><h2>Title &amp; more</h2><p>First   paragraph with <b>bold</b>&nbsp;text, long enough
+to count as content by its ratio of text to tags.<p>Short.<p>Second paragraph, also with a good deal of plain text in it &lt;b&gt;.
+<div class="advert">Buy this now, it is cheap and good and you will like it very much indeed.</div></div>
+<div><a href=a>one link</a> <a href=b>two link</a> <a href=c>three link</a> <a href=d>four</a></div></div>
+<form><p>Your name <input name=q></p><button>Send</button></form><div id="comments"><p>I liked it a lot, what a good article, thanks.</p></div>
+<aside>aside text that is long, long, long, long, long, long</aside><footer>c 2020</footer><script>var a = "<p>no</p>";</script></body></html>"""
+
+
+def test_html(spark):
+    want = ("Title & more First paragraph with bold text, long enough to count as content by its ratio of text to tags. "
+            "Short. Second paragraph, also with a good deal of plain text in it <b>.")
+    assert extract_html.main_text(PAGE) == want
+    rows = [(1, "u", PAGE, "x"), (2, None, None, "x"), (None, "u", "", "x"), (3, "u", "<p>only text", "x"),
+            (3, "u", "<p>only text", "x"), (4, "u", "<div>" * 3000 + "deep" + "</p>" * 10, "x"), (5, "u", "<", "x")]
+    df = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING, text STRING")
+    out = [(r.page_id, r.text, r.n_chars) for r in extract_html.extract(df).collect()]
+    assert out == [(1, want, len(want)), (2, "", 0), (None, "", 0), (3, "only text", 9), (3, "only text", 9),
+                   (4, "deep", 4), (5, "<", 1)]
+    assert extract_html.extract(df.limit(0)).count() == 0
+
+
+def test_suffixes(odd, none):
+    out = suffixes.remove_repeats(odd).collect()
+    assert len(out) == 13
+    gone = sorted((str(r.doc_id), r.n_bytes - r.n_removed) for r in out if r.n_bytes)
+    assert dict(gone)["1"] == 0 and dict(gone)["6"] == 0 and dict(gone)["8"] == 7
+    assert suffixes.remove_repeats(none).count() == 0
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="abé", max_size=60), min_size=1, max_size=5), st.sampled_from([5, 12, 25]))
+def test_blocks_of_suffixes_equal_brute_force(texts, length):
+    from forecourt.llm import blocks as bl
+
+    raw = [t.encode() for t in texts]
+    block = bl.Block({"block": 0, "ids": list(range(len(raw))), "body": b"".join(raw), "lengths": [len(b) for b in raw]})
+    cover = suffixes.Cover(length)
+    block.rounds = [cover.ask_samples(block)[1] >= 2]
+    block.rounds.append(cover.ask_windows(block)[1] >= 2)
+    got = cover.marked(block)
+    counts = {}
+    for b in raw:
+        for i in range(len(b) - length + 1):
+            counts[b[i:i + length]] = counts.get(b[i:i + length], 0) + 1
+    want = np.zeros(len(got), bool)
+    for base, b in zip(block.offsets, raw, strict=False):
+        for i in range(len(b) - length + 1):
+            if counts[b[i:i + length]] > 1:
+                want[base + i: base + i + length] = True
+    assert (got == want).all()
+
+
+@pytest.mark.parametrize("q", [2, 3, 5, 7, 11])
+def test_difference_covers(q):
+    v, residues = suffixes.singer_cover(q)
+    assert {(a - b) % v for a in residues for b in residues} == set(range(v)) and len(residues) == q + 1
+
+
+def test_passages(odd, none):
+    out = passages.remove_passages(odd).collect()
+    assert len(out) == 13
+    left = {}
+    for r in out:
+        left.setdefault(r.doc_id, []).append(r)
+    assert [r.n_removed for r in left[1]] == [0, 0] and left[6][0].n_removed == 0
+    assert left[7][0].kept == "" and left[7][0].n_removed == 60_000
+    assert sorted(r.n_removed for r in left[None]) == [0, 240] and left[2][0].n_removed > 150
+    assert passages.remove_passages(none).count() == 0
+
+
+def test_urls(spark):
+    rows = [(1, "http://A.Example.ORG/es/x", "u"), (2, "https://example.org/en/12?x#y", "u"), (3, "http://b.org", "u"),
+            (4, None, "u"), (5, "no scheme", "u"), (6, "x://y.COM/fr/?q=1&r=2", "u"), (7, "http://notexample.org/es/", "u"),
+            (7, "http://notexample.org/es/", "u"), (8, "http://z.net/" + "a" * 100_000, "u"), (9, "", "u"), (None, "a://c.com/de/", "u")]
+    df = spark.createDataFrame(rows, "page_id BIGINT, url STRING, host STRING")
+    out = {r.page_id: r for r in urls.judge(df).collect()}
+    assert {k: (r.host, r.rule) for k, r in out.items() if k not in (8,)} == {
+        1: ("a.example.org", "example.org/es/"), 2: ("example.org", "example.org/en/1"), 3: ("b.org", None), 4: ("", None),
+        5: ("", None), 6: ("y.com", "com/fr/"), 7: ("notexample.org", "org/"), 9: ("", None), None: ("c.com", "com/de/")}
+    assert (out[2].path, out[8].path[:3], out[3].path) == ("/en/12", "/aa", "") and out[2].verdict == "block"
+    assert all(r.verdict in ("allow", "block") for r in out.values())
+    assert {r.verdict for r in urls.judge(df.filter("page_id IN (4, 5, 8)")).collect()} == {"allow"}
+    assert {r.verdict for r in urls.judge(df.filter("page_id IN (1, 2, 8)")).collect()} == {"block"}
+    assert urls.judge(df.limit(0)).count() == 0
+
+
+def test_urls_held_out_accuracy(spark):
+    site = F.when(F.col("id") % 2 == 0, F.concat(F.lit("http://news"), F.col("id") % 7, F.lit(".site.net/story/"), F.col("id") % 50)) \
+        .otherwise(F.concat(F.lit("http://x"), F.col("id") * 7919 % 10**6, F.lit("-win.bid.net/a/b/c?id="), F.col("id") * 31, F.lit("&ref=9&t=1")))
+    rows = spark.range(2000).select(
+        "id", site.alias("url"), F.when(F.col("id") % 2 == 0, "allow").otherwise("block").alias("verdict"))
+    rows = urls.lexical(rows.withColumns({"host": urls.host_of(F.col("url")), "path": urls.path_of(F.col("url"))}))
+    model = urls.train(rows.filter("id % 5 != 0"), fit_rows=800)
+    held = model.judge(rows.filter("id % 5 = 0")).select("verdict", "judged").collect()
+    assert sum(r.verdict == r.judged for r in held) / len(held) > 0.95
+
+
+def test_running_total(spark):
+    df = spark.range(1000).select((F.col("id") % 13).alias("k"), "id").repartition(5)
+    out = staging.running_total(df, [F.col("k"), F.col("id")], "id", "upto").orderBy("k", "id").collect()
+    total = 0
+    for r in out:
+        assert r.upto == total
+        total += r.id
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.text(alphabet="aé b\n\t.", max_size=12), max_size=6))
+def test_words_equal_the_pattern(texts):
+    import re
+
+    data, offsets = words.flat(pa.array(texts, pa.string()))
+    starts, ends = words.spans(data, offsets, words.SPACED)
+    found = [data[a:b].tobytes().decode() for a, b in zip(starts, ends, strict=True)]
+    want = [w for t in texts for w in re.findall(r"[^\x20\x09-\x0D]+", t)]
+    assert found == want
+    values = words.fingerprints(data, starts, ends)
+    assert len(set(values.tolist())) == len(set(want))
