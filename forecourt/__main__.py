@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +25,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--boost", action="store_true", help="also train boosted trees")
     parser.add_argument("--root", help="folder for the tables; catalog tables when not given")
     parser.add_argument("--output", required=True, help="folder for models and reports")
+    parser.add_argument("--day", type=dt.date.fromisoformat, help="ingestion date; today when not given")
+    parser.add_argument("--replace-dates", action="store_true", help="replace what is stored of the day")
+    parser.add_argument("--as-of-year", type=int, help="year of reference; the running one when not given")
     given = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("forecourt").getOrCreate()
@@ -37,8 +41,12 @@ def main(arguments: list[str] | None = None) -> None:
     summary = run(
         spark, Tables(root=given.root),
         Training(output_dir=given.output, source=given.source, models=models), sources,
+        given.as_of_year, given.day, given.replace_dates,
     )
-    print(f"feed rows {summary.feed_rows}, page rows {summary.page_rows}")
+    print(f"feed rows {summary.feed.rows}, page rows {summary.pages.rows}")
+    for name, source in (("feed", summary.feed), ("page", summary.pages)):
+        for reason, n in sorted(source.rejected.items()):
+            print(f"{name} records rejected, {reason}: {n}")
     for outcome in summary.outcomes:
         print(f"run {outcome.run_id[:8]}  {outcome.params['model_type']}  {outcome.metrics}")
     if summary.skipped:

@@ -133,9 +133,12 @@ SELECT marca, tipo_normalizado,
  CAST(sum(CAST(CAST(precio AS DOUBLE) AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS prediction
 FROM fitted_rows GROUP BY ALL"""),
     "predicted": (("train_all", "means"), """
-SELECT t.*, prediction, abs(CAST(precio AS DOUBLE) - prediction) AS error_absoluto,
+SELECT *, abs(CAST(precio AS DOUBLE) - prediction) AS error_absoluto,
  abs(CAST(precio AS DOUBLE) - prediction) / CAST(precio AS DOUBLE) * 100 AS error_porcentual
-FROM train_all t JOIN means USING (marca, tipo_normalizado) WHERE is_test"""),
+FROM (SELECT t.*, coalesce(m.prediction, (SELECT
+  CAST(sum(CAST(CAST(precio AS DOUBLE) AS DECIMAL(18, 2))) AS DOUBLE) / count(*) FROM fitted_rows))
+  AS prediction
+ FROM train_all t LEFT JOIN means m USING (marca, tipo_normalizado) WHERE is_test)"""),
     "page_hrefs": ((), """
 SELECT page_id, unnest(regexp_extract_all(regexp_replace(html,
  '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g'),
@@ -156,7 +159,7 @@ WHERE contains(link, '/') GROUP BY page_id, link"""),
 for _c in fixed.CATEGORY_COLUMNS:
     _PARTS[f"rank_{_c}"] = (("fitted_rows",), f"""
 SELECT {_c} AS label, CAST(row_number() OVER (ORDER BY count(*) DESC, {_c}) - 1 AS INT) AS pos
-FROM fitted_rows GROUP BY {_c}""")
+FROM fitted_rows WHERE {_c} IS NOT NULL GROUP BY {_c}""")
 _RANKS = tuple(f"rank_{c}" for c in fixed.CATEGORY_COLUMNS)
 _RANK_JOINS = " ".join(
     f"LEFT JOIN rank_{c} ON train_all.{c} = rank_{c}.label" for c in fixed.CATEGORY_COLUMNS
@@ -188,9 +191,6 @@ def _sql(*needs: str, body: str) -> str:
 
 _CLEANED = """url_anuncio, ingestion_date, marca, modelo, anio, km,
  round(CAST(precio AS DOUBLE), 2) AS precio, cilindrada_cc"""
-_QUARTERS = _SHOWN.replace(
-    "ingestion_date", "CAST(date_trunc('quarter', ingestion_date) AS DATE) AS ingestion_date"
-)
 _GOLD = """marca, modelo, anio, edad_anios, km, km_bucket, tipo_normalizado, cilindrada_cc,
  potencia_cv, distintivo_ambiental, num_plazas, num_llaves, iva_deducible, origen,
  round(CAST(precio AS DOUBLE), 2) AS precio, round(log_precio, 6) AS log_precio, url_anuncio"""
@@ -229,9 +229,10 @@ SELECT coalesce(reject_reason, 'accepted') AS reject_reason, count(*) AS rows
 FROM listings_a GROUP BY 1"""),
     "src_html_pages": "SELECT url, length(html) AS characters, md5(html) AS html_md5 FROM pages",
     "bronze_scan": _sql("bronze_a", body="""
-SELECT url_anuncio, marca, round(precio, 2) AS precio,
- CAST(date_trunc('quarter', ingestion_date) AS DATE) AS ingestion_date FROM bronze_a
-WHERE date_trunc('quarter', ingestion_date) >= DATE '1998-01-01'"""),
+SELECT url_anuncio, marca, round(precio, 2) AS precio, ingestion_date FROM bronze_a"""),
+    "bronze_scan_since": _sql("bronze_a", body="""
+SELECT url_anuncio, marca, round(precio, 2) AS precio, ingestion_date FROM bronze_a
+WHERE ingestion_date >= DATE '1998-01-01'"""),
     "optional_source": _sql("bronze", body="""
 SELECT origen, count(*) AS rows FROM bronze GROUP BY 1"""),
     "bronze_schema": _sql("dirty", body="""
@@ -241,14 +242,14 @@ SELECT marca, modelo, TRY_CAST(anio AS INT) AS anio, TRY_CAST(km AS INT) AS km,
  ingestion_date FROM dirty"""),
     "bronze_stamp": _sql("bronze_a", body="""
 SELECT url_anuncio, DATE '2024-03-01' AS ingestion_date FROM bronze_a"""),
-    "bronze_append_roundtrip": _sql("bronze", body=f"SELECT {_QUARTERS} FROM bronze"),
+    "bronze_append_roundtrip": _sql("bronze", body=f"SELECT {_SHOWN} FROM bronze"),
     "bronze_replace_dates": _sql("bronze_a", body="""
 SELECT DATE '2024-03-01' AS ingestion_date, count(*) AS rows, count(*) AS reported
 FROM bronze_a"""),
     "bronze_empty": _sql("bronze_a", body="""
 SELECT count(*) AS rows_in, CAST(0 AS BIGINT) AS written, false AS exists FROM bronze_a"""),
     "bronze_partition_counts": _sql("bronze_a", body="""
-SELECT CAST(date_trunc('quarter', ingestion_date) AS DATE) AS ingestion_date, count(*) AS rows
+SELECT ingestion_date, count(*) AS rows
 FROM bronze_a GROUP BY 1 ORDER BY 1 DESC LIMIT 10"""),
     "silver_overwrite_roundtrip": _sql("silver", body=f"SELECT {_SHOWN} FROM silver"),
     # feed records
@@ -276,9 +277,6 @@ ORDER BY page_id, position LIMIT 300"""),
 SELECT url, ingestion_date, anio, modelo, kilometros, cilindrada, potencia_maxima,
  CAST(2 + (anio IS NOT NULL)::INT + (modelo IS NOT NULL)::INT
   + (potencia_maxima IS NOT NULL)::INT AS INT) AS labels FROM raw_b"""),
-    "page_fields_tolerant": _sql("raw_b", body=f"""
-SELECT url, modelo, cilindrada, CAST(2 + (anio IS NOT NULL)::INT + (modelo IS NOT NULL)::INT
-  + (potencia_maxima IS NOT NULL)::INT AS INT) AS labels, {_PAGE_PRICE} AS precio FROM raw_b"""),
     "eu_price": _sql("raw_b", body=f"""
 SELECT url, ingestion_date, {_PAGE_PRICE} AS precio FROM raw_b"""),
     "kind_from_url": _sql("raw_b", body=f"SELECT url, {_SEGMENT} AS segment FROM raw_b"),
@@ -376,6 +374,11 @@ SELECT url_anuncio, CAST({_offset(len(fixed.CATEGORY_COLUMNS))} + 6 AS INT) AS s
  concat_ws(',', {', '.join(
     f'rank_{c}.pos + {_offset(i)}' for i, c in enumerate(fixed.CATEGORY_COLUMNS))}) AS slots,
  {', '.join(fixed.NUMERIC_COLUMNS)} FROM train_all {_RANK_JOINS}"""),
+    "feature_names": _sql(*_RANKS, body="\nUNION ALL\n".join([
+        *[f"SELECT CAST(pos + {_offset(i)} AS INT) AS slot, '{c}_ohe_' || label AS feature FROM rank_{c}"
+          for i, c in enumerate(fixed.CATEGORY_COLUMNS)],
+        *[f"SELECT CAST({_offset(len(fixed.CATEGORY_COLUMNS))} + {i} AS INT), '{c}'"
+          for i, c in enumerate(fixed.NUMERIC_COLUMNS)]])),
     "regression_metrics": _sql("predicted", body=f"""
 SELECT {_METRICS}, count(*) AS rows FROM predicted"""),
     "sample_predictions": _sql("predicted", body=f"""
@@ -406,15 +409,21 @@ ORACLES["run_missing_metric"] = _sql("train_all", body="""
 SELECT 'mean price, all' AS run_name, CAST(0 AS DOUBLE) AS r2 FROM train_all
 GROUP BY ALL HAVING count(*) > 0""")
 # One stamped day: the copies of a listing differ in no date, so the tie rule
-# decides; only the number of rows is compared.
+# decides which; rows and, of the raw layers, prices are compared.
 ORACLES["end_to_end"] = _sql("bronze_a", "bronze_b", body=f"""
 , unstamped AS (SELECT * REPLACE (DATE '2024-03-01' AS ingestion_date)
   FROM (SELECT * FROM bronze_a UNION ALL BY NAME SELECT * FROM bronze_b)),
 e_typed AS ({_PARTS['typed'][1].replace('FROM bronze', 'FROM unstamped')}),
 e_ranked AS ({_PARTS['ranked'][1].replace('FROM typed', 'FROM e_typed')}),
 e_silver AS ({_PARTS['silver'][1].replace('FROM ranked', 'FROM e_ranked')})
-SELECT 'bronze_feed' AS layer, count(*) AS rows FROM bronze_a
-UNION ALL SELECT 'bronze_pages', count(*) FROM bronze_b
-UNION ALL SELECT 'silver', count(*) FROM e_silver
-UNION ALL SELECT 'gold', count(*) FROM e_silver
-UNION ALL SELECT 'runs', 1""")
+SELECT 'bronze_feed' AS layer, count(*) AS rows,
+ CAST(sum(CAST(round(precio * 100) AS BIGINT)) AS BIGINT) AS cents FROM bronze_a
+UNION ALL SELECT 'bronze_pages', count(*),
+ CAST(sum(CAST(round(precio * 100) AS BIGINT)) AS BIGINT) FROM bronze_b
+UNION ALL SELECT 'silver', count(*), NULL FROM e_silver
+UNION ALL SELECT 'gold', count(*), NULL FROM e_silver
+UNION ALL SELECT 'runs', 1, NULL
+UNION ALL SELECT concat('feed rejected, ', reject_reason), count(*), NULL FROM listings_a
+ WHERE reject_reason IS NOT NULL GROUP BY reject_reason
+UNION ALL SELECT concat('pages rejected, ', reject_reason), count(*), NULL FROM listings_b
+ WHERE reject_reason IS NOT NULL GROUP BY reject_reason""")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +17,7 @@ from forecourt.functions import html, numbers
 from forecourt.learning import evaluation, features, runs, split, training
 from forecourt.operators import bronze, extract, gold, links, quality, silver
 from forecourt.plans import medallion
-from forecourt.sources import dom, landed, sinks, tables
+from forecourt.sources import landed, sinks, tables
 from forecourt.sources.scratch import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,12 +88,19 @@ def src_html_pages(d: Inputs) -> DataFrame:
 
 def stored_feed(d: Inputs) -> str:
     folder = scratch_folder(d.spark, "bronze")
-    bronze.append_bronze(d.quarter(d.bronze_feed), folder, keep_dates=True)
+    bronze.append_bronze(d.bronze_feed, folder, keep_dates=True)
     return folder
 
 
 @query
 def bronze_scan(d: Inputs) -> DataFrame:
+    rows = bronze.scan_bronze(d.spark, stored_feed(d))
+    return shown(rows, ["url_anuncio", "marca", "precio", "ingestion_date"])
+
+
+@query
+def bronze_scan_since(d: Inputs) -> DataFrame:
+    """Only the date folders from a day on are read."""
     rows = bronze.scan_bronze(d.spark, stored_feed(d), since=dt.date(1998, 1, 1))
     return shown(rows, ["url_anuncio", "marca", "precio", "ingestion_date"])
 
@@ -126,7 +132,7 @@ def bronze_stamp(d: Inputs) -> DataFrame:
 @query
 def bronze_append_roundtrip(d: Inputs) -> DataFrame:
     folder = stored_feed(d)
-    bronze.append_bronze(d.quarter(d.bronze_pages), folder, keep_dates=True)
+    bronze.append_bronze(d.bronze_pages, folder, keep_dates=True)
     return shown(bronze.scan_bronze(d.spark, folder), BRONZE_SHOWN)
 
 
@@ -233,20 +239,6 @@ def spec_map(d: Inputs) -> DataFrame:
     )
 
 
-@query
-def page_fields_tolerant(d: Inputs) -> DataFrame:
-    """The parser-based path; must agree with the expressions."""
-    fields = dom.read_page_fields(d.pages)
-    specs = F.col("specs")
-    return fields.select(
-        "url",
-        specs[fixed.SPEC_MODEL].alias("modelo"),
-        specs[fixed.SPEC_ENGINE].alias("cilindrada"),
-        F.size(specs).alias("labels"),
-        numbers.european_price(F.col("price_text")).alias("precio"),
-    )
-
-
 @query
 def eu_price(d: Inputs) -> DataFrame:
     return extract.read_page_fields(d.pages).select(
@@ -463,8 +455,9 @@ def guards(d: Inputs) -> DataFrame:
 
 # --- learning ----------------------------------------------------------------
 
-def training_frame(d: Inputs, source: str = "all") -> DataFrame:
-    return split.training_rows(d.stored_gold, source)
+def training_frame(d: Inputs, source: str = "all", stored: bool = True) -> DataFrame:
+    """The rows to learn from; stored first where they are read more than once."""
+    return split.training_rows(d.stored_gold if stored else d.gold, source)
 
 
 LEARNED = [*fixed.CATEGORY_COLUMNS, *fixed.NUMERIC_COLUMNS, "precio", "url_anuncio"]
@@ -472,17 +465,17 @@ LEARNED = [*fixed.CATEGORY_COLUMNS, *fixed.NUMERIC_COLUMNS, "precio", "url_anunc
 
 @query
 def training_set(d: Inputs) -> DataFrame:
-    return shown(training_frame(d), LEARNED)
+    return shown(training_frame(d, stored=False), LEARNED)
 
 
 @query
 def training_source_filter(d: Inputs) -> DataFrame:
-    return shown(training_frame(d, fixed.PAGE_SOURCE.upper()), ["url_anuncio", "origen", "precio"])
+    return shown(training_frame(d, fixed.PAGE_SOURCE.upper(), stored=False), ["url_anuncio", "origen", "precio"])
 
 
 @query
 def training_source_feed(d: Inputs) -> DataFrame:
-    return shown(training_frame(d, fixed.FEED_SOURCE), ["url_anuncio", "origen", "precio"])
+    return shown(training_frame(d, fixed.FEED_SOURCE, stored=False), ["url_anuncio", "origen", "precio"])
 
 
 @query
@@ -501,37 +494,43 @@ def min_rows_guard(d: Inputs) -> DataFrame:
 
 @query
 def train_test_split(d: Inputs) -> DataFrame:
-    marked = split.with_fold(split.mark_test(training_frame(d)))
+    marked = split.with_fold(split.mark_test(training_frame(d, stored=False)))
     return marked.select("url_anuncio", "is_test", "fold")
 
 
-def fitted(d: Inputs, stages: list) -> tuple[PipelineModel, DataFrame]:
-    """Stages fitted on the training side, and all rows."""
+def indexed_rows(d: Inputs) -> tuple[features.Labels, DataFrame]:
+    """Labels ranked on the training side, and all rows with their ranks."""
     rows = training_frame(d)
     train, _ = split.split(rows)
-    return Pipeline(stages=stages).fit(train), rows
+    labels = features.rank_labels(train)
+    return labels, features.indexed(rows, labels)
 
 
 @query
 def category_index(d: Inputs) -> DataFrame:
-    model, rows = fitted(d, [features.label_indexer()])
-    return model.transform(rows).select(
+    return indexed_rows(d)[1].select(
         "url_anuncio", *[F.col(c).cast("int").alias(c) for c in features.index_columns()]
     )
 
 
 @query
 def one_hot(d: Inputs) -> DataFrame:
-    model, rows = fitted(d, [features.label_indexer(), features.one_hot()])
-    return model.transform(rows).select(
+    _, rows = indexed_rows(d)
+    return features.one_hot().fit(rows).transform(rows).select(
         "url_anuncio", *[features.hot_slot(c).cast("int").alias(c)
                          for c in features.one_hot_columns()]
     )
 
 
+@query
+def feature_names(d: Inputs) -> DataFrame:
+    """The feature each vector slot stands for."""
+    return indexed_rows(d)[0].slots().select("slot", F.col("Feature").alias("feature"))
+
+
 @query
 def feature_vector(d: Inputs) -> DataFrame:
-    model, rows = fitted(d, features.stages())
+    _, rows = indexed_rows(d)
     n = len(fixed.NUMERIC_COLUMNS)
     vector = F.col("v")
     slots = F.filter(
@@ -541,7 +540,7 @@ def feature_vector(d: Inputs) -> DataFrame:
         lambda i: i.isNotNull(),
     )
     return (
-        model.transform(rows)
+        features.vectoriser(rows).transform(rows)
         .select("url_anuncio", vector_to_array(features.FEATURES).alias("v"))
         .select(
             "url_anuncio",
@@ -555,14 +554,10 @@ def feature_vector(d: Inputs) -> DataFrame:
     )
 
 
-def trained(d: Inputs, model) -> tuple[PipelineModel, DataFrame]:
-    """A small model fitted on the training side, and the held-out rows."""
+def trained(d: Inputs, model) -> tuple[training.PriceModel, DataFrame]:
+    """A model fitted on the training side, and the held-out rows."""
     train, test = split.split(shown(training_frame(d), [*LEARNED, "modelo"]))
-    rows = training.stable_layout(train).persist()
-    try:
-        return training.price_pipeline(model).fit(rows), test
-    finally:
-        rows.unpersist()
+    return training.fit_price_model(model, train), test
 
 
 def small_forest():
@@ -583,13 +578,8 @@ def gbt_predict(d: Inputs) -> DataFrame:
 
 @query
 def cv_grid_results(d: Inputs) -> DataFrame:
-    rows = training.stable_layout(shown(training_frame(d), LEARNED)).persist()
-    try:
-        train, _ = split.split(rows)
-        search = training.cross_validator(SMALL_GRID, folds=2).fit(split.with_fold(train, 2))
-    finally:
-        rows.unpersist()
-    return training.grid_results(d.spark, search)
+    train, _ = split.split(shown(training_frame(d), LEARNED))
+    return training.grid_results(d.spark, training.cross_validate(SMALL_GRID, split.with_fold(train)))
 
 
 def mean_predictions(d: Inputs, source: str = "all") -> DataFrame:
@@ -651,8 +641,8 @@ def report_csv(d: Inputs) -> DataFrame:
 
 @query
 def feature_importance(d: Inputs) -> DataFrame:
-    model, test = trained(d, small_forest())
-    return evaluation.feature_importance(d.spark, model, model.transform(test))
+    model, _ = trained(d, small_forest())
+    return evaluation.feature_importance(d.spark, model.trees, model.labels)
 
 
 @query
@@ -660,8 +650,8 @@ def model_roundtrip(d: Inputs) -> DataFrame:
     """A stored model predicts what the fitted one does."""
     model, test = trained(d, small_forest())
     folder = scratch_folder(d.spark, "model")
-    model.write().overwrite().save(folder)
-    stored = PipelineModel.load(folder)
+    model.save(folder)
+    stored = training.PriceModel.load(d.spark, folder)
     both = model.transform(test).select("*", F.col("prediction").alias("fitted")).drop(
         "prediction", features.FEATURES, *features.index_columns(), *features.one_hot_columns()
     )
@@ -713,14 +703,14 @@ def run_missing_metric(d: Inputs) -> DataFrame:
 
 @query
 def end_to_end(d: Inputs) -> DataFrame:
-    """Landed data through all layers into tables; the rows of each layer."""
+    """Landed data through all layers into tables: rows of each layer, and rejects by reason."""
     folder = scratch_folder(d.spark, "all")
     feed_envelopes(d.feed).write.text(f"{folder}/landed/feed")
     d.pages.select("url", "html").write.parquet(f"{folder}/landed/pages")
     where = Tables(root=folder)
     summary = medallion.run(
         d.spark, where,
-        Training(output_dir=f"{folder}/output", folds=2, models=(
+        Training(output_dir=f"{folder}/output", models=(
             ModelChoice("Random Forest", "forest", (3,), (3, 4)),
         )),
         medallion.Sources(
@@ -729,17 +719,26 @@ def end_to_end(d: Inputs) -> DataFrame:
         ),
         as_of_year=AS_OF_YEAR, day=dt.date(2024, 3, 1),
     )
-    counted = [
-        tables.read_table(d.spark, where.locate(layer)).agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(layer).alias("layer"), "rows")
-        for layer in ("bronze_feed", "bronze_pages", "silver", "gold")
+    def measured(layer: str, price: str | None = None) -> DataFrame:
+        # Prices as cents, so that sums do not depend on the order of addition.
+        cents = F.sum(F.round(F.col(price).cast("double") * 100).cast("bigint")) if price else F.lit(None).cast("bigint")
+        return tables.read_table(d.spark, where.locate(layer)).agg(
+            F.count(F.lit(1)).alias("rows"), cents.alias("cents")
+        ).select(F.lit(layer).alias("layer"), "rows", "cents")
+
+    result = measured("bronze_feed", "precio")
+    for layer in ("bronze_pages", "silver", "gold"):
+        result = result.unionByName(measured(layer, "precio" if layer == "bronze_pages" else None))
+    rejected = [
+        (f"{name} rejected, {reason}", n, None)
+        for name, source in (("feed", summary.feed), ("pages", summary.pages))
+        for reason, n in source.rejected.items()
     ]
-    counted.append(
-        tables.read_table(d.spark, where.locate("runs"), runs.RUNS)
-        .filter(F.col("run_id").isin([o.run_id for o in summary.outcomes]))
-        .agg(F.count(F.lit(1)).alias("rows")).select(F.lit("runs").alias("layer"), "rows")
-    )
-    result = counted[0]
-    for more in counted[1:]:
-        result = result.unionByName(more)
-    return result
+    runs_found = tables.read_table(d.spark, where.locate("runs"), runs.RUNS).filter(
+        F.col("run_id").isin([o.run_id for o in summary.outcomes])
+    ).agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit("runs").alias("layer"), "rows", F.lit(None).cast("bigint").alias("cents")
+    )
+    return result.unionByName(runs_found).unionByName(
+        d.spark.createDataFrame(rejected, "layer STRING, rows BIGINT, cents BIGINT")
+    )

@@ -71,33 +71,3 @@ FOREST_TREES = [100, 200]
 FOREST_DEPTHS = [8, 12]
 BOOST_ROUNDS = [50, 100]
 BOOST_DEPTHS = [5, 8]
-
-# Named character references decoded in listing pages.
-HTML_ENTITIES = {
-    "nbsp": "\u00a0",
-    "euro": "€",
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "aacute": "á",
-    "eacute": "é",
-    "iacute": "í",
-    "oacute": "ó",
-    "uacute": "ú",
-    "uuml": "ü",
-    "ntilde": "ñ",
-    "ccedil": "ç",
-    "Aacute": "Á",
-    "Eacute": "É",
-    "Iacute": "Í",
-    "Oacute": "Ó",
-    "Uacute": "Ú",
-    "Uuml": "Ü",
-    "Ntilde": "Ñ",
-    "Ccedil": "Ç",
-    "ordm": "º",
-    "ordf": "ª",
-    "middot": "·",
-    "amp": "&",
-}

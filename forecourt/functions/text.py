@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from forecourt.fixed_values import HTML_ENTITIES
 from forecourt.functions.staging import bind
 
 # Everything Unicode counts as white space; Spark's own trim only removes blanks.
@@ -18,10 +20,6 @@ def strip_space(text: Column) -> Column:
     return F.btrim(text, F.lit(_SPACE_CHARACTERS))
 
 
-def strip_tags(markup: Column) -> Column:
-    return F.regexp_replace(markup, r"(?s)<!--.*?-->|<[^>]*>", "")
-
-
 # References to the unused control range 128-159 mean Windows-1252 characters.
 _CONTROLS = "".join(map(chr, range(128, 160)))
 _WINDOWS = "".join(
@@ -31,50 +29,55 @@ _WINDOWS = "".join(
 
 def _numeric_character(reference: Column) -> Column:
     """`&#233;` or `&#xE9;` -> é; numbers that are no character -> U+FFFD."""
-    digits = F.regexp_extract(reference, r"([0-9a-fA-F]+);", 1)
+    digits = F.regexp_extract(reference, r"([0-9a-fA-F]+);?$", 1)
     is_hex = F.lower(F.substring(reference, 3, 1)) == "x"
     number = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
     usable = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
     character = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
     return (
-        F.when(number == ord("&"), F.lit("&amp;"))
-        .when(usable, F.translate(character, _CONTROLS, _WINDOWS))
+        F.when(usable, F.translate(character, _CONTROLS, _WINDOWS))
         .otherwise(F.lit("\ufffd"))
     )
 
 
+# The standard's names, from Python's own table.  Those it also allows without
+# `;` match as far as they reach, the longest first.
+_NAMED = json.dumps({f"&{name}": text for name, text in html5.items()})
+_UNENDED = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+_CUT = (
+    rf"&(?:[a-zA-Z][a-zA-Z0-9]*;|#[0-9]{{1,7}};?|#[xX][0-9a-fA-F]{{1,6}};?|(?:{_UNENDED}))|[^&]+|&"
+)
+
+
 def decode_entities(text: Column) -> Column:
-    """Decode numeric references and the named ones in HTML_ENTITIES.
+    """Decode numeric and named character references.
 
-    Ampersands come last, so that `&amp;lt;` ends as `&lt;`.
+    Each is replaced where it stands, so that `&amp;lt;` ends as `&lt;`.
     """
-    named = F.create_map(*[
-        F.lit(part) for name, char in HTML_ENTITIES.items() for part in (f"&{name};", char)
-    ])
-    references = F.array_distinct(
-        F.regexp_extract_all(
-            text, F.lit(r"(&(?!amp;)(?:[a-zA-Z]+|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});)"), F.lit(1)
-        )
-    )
+    named = F.from_json(F.lit(_NAMED), "map<string,string>")
 
     def character(reference: Column) -> Column:
         return F.when(
             F.startswith(reference, F.lit("&#")), _numeric_character(reference)
-        ).otherwise(F.coalesce(F.try_element_at(named, reference), reference))
-
-    decoded = F.aggregate(
-        references, text, lambda done, ref: F.replace(done, ref, character(ref))
+        ).otherwise(F.coalesce(F.try_element_at(named, reference), begun(reference)))
+
+    def begun(reference: Column) -> Column:
+        # An unknown name may begin with one that needs no end.
+        known = F.regexp_extract(reference, f"^&(?:{_UNENDED})", 0)
+        rest = F.substring(reference, F.length(known) + 1, F.length(reference))
+        return F.when(known == "", reference).otherwise(
+            F.concat(F.try_element_at(named, known), rest))
+
+    return F.array_join(
+        F.transform(
+            F.regexp_extract_all(text, F.lit(_CUT), F.lit(0)),
+            lambda p: F.when(F.startswith(p, F.lit("&")), character(p)).otherwise(p),
+        ), ""
     )
-    return F.replace(decoded, F.lit("&amp;"), F.lit(HTML_ENTITIES["amp"]))
-
 
-def visible_text(markup: Column) -> Column:
-    """Text of a stripped piece of markup: no tags, entities decoded, ends stripped again.
 
-    Plain text, the usual case, is returned as it is.
-    """
-    is_plain = ~(F.contains(markup, F.lit("<")) | F.contains(markup, F.lit("&")))
-    cleaned = bind(
-        bind(strip_tags(markup), decode_entities), strip_space
-    )
-    return F.when(is_plain, markup).otherwise(cleaned)
+def plain_text(text: Column) -> Column:
+    """Text with entities decoded and both ends stripped; most texts have no entities."""
+    return bind(text, lambda t: strip_space(
+        F.when(F.contains(t, F.lit("&")), decode_entities(t)).otherwise(t)
+    ))

@@ -16,6 +16,10 @@ from forecourt.functions import html, labels, numbers
 from forecourt.functions.staging import settle
 
 REASON = "reject_reason"
+REASONS = [
+    "bad_page", "no_id", "bad_year", "bad_km", "bad_price", "bad_option",
+    "no_brand", "no_model", "old_year", "negative_km", "no_price",
+]
 
 
 def is_valid_listing() -> Column:
@@ -41,7 +45,7 @@ def _in_bronze_layout(df: DataFrame, unreadable: Column) -> DataFrame:
         F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
         for f in schema.BRONZE.fields
     ]
-    return settle(df, *columns, F.coalesce(unreadable, _rule_broken()).alias(REASON))
+    return df.select(*columns, F.coalesce(unreadable, _rule_broken()).alias(REASON))
 
 
 def parse_feed(records: DataFrame) -> DataFrame:
@@ -76,6 +80,7 @@ def parse_feed(records: DataFrame) -> DataFrame:
         F.lit(fixed.FEED_SOURCE).alias("origen"),
         *carried,
         given("cc"), given("num_seats"), given("num_keys"),
+        (F.col("bad_page") if "bad_page" in types else F.lit(False)).alias("_bad_page"),
     )
     broken_option = (
         (F.col("_cc_given") & F.col("cilindrada_cc").isNull())
@@ -83,7 +88,8 @@ def parse_feed(records: DataFrame) -> DataFrame:
         | (F.col("_num_keys_given") & F.col("num_llaves").isNull())
     )
     unreadable = (
-        F.when(F.col("url_anuncio").isNull(), "no_id")
+        F.when(F.col("_bad_page"), "bad_page")
+        .when(F.col("url_anuncio").isNull(), "no_id")
         .when(F.col("anio").isNull(), "bad_year")
         .when(F.col("km").isNull(), "bad_km")
         .when(F.col("precio").isNull(), "bad_price")
@@ -95,15 +101,17 @@ def parse_feed(records: DataFrame) -> DataFrame:
 def read_page_fields(pages: DataFrame) -> DataFrame:
     """(url, html) -> url, label map, price text and kind segment.
 
-    The markup itself is not carried on: later stages only see these fields.
+    The markup itself is not carried on: later stages only see these fields,
+    and no filter of theirs reads a page a second time.
     """
     carried = [c for c in (schema.DATE,) if c in pages.columns]
-    rendered = pages.select("url", html.rendered(F.col("html")).alias("page"), *carried)
-    return rendered.select(
-        "url",
-        html.spec_map(html.spec_entries(F.col("page"))).alias("specs"),
-        html.price_text(F.col("page")).alias("price_text"),
-        *carried,
+    rest = [F.col(c) for c in ("url", *carried)]
+    read = settle(pages, html.page_parts(html.rendered(F.col("html"))).alias("read"), *rest)
+    return settle(
+        read,
+        html.spec_map(html.spec_entries(F.col("read"))).alias("specs"),
+        html.price_text(F.col("read")).alias("price_text"),
+        *rest,
     )
 
 

@@ -13,12 +13,27 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 1000
+from forecourt.sources import sinks, tables
+from forecourt.sources.scratch import scratch_folder
 
+#: Distinct values a slice holds, about.
+SLICE_VALUES = 100_000
 
-def _cuts_below(cuts: Column, value: Column) -> Column:
+
+def counted_values(df: DataFrame, column: str) -> DataFrame:
+    """(v, n): how often each value occurs; NULL is left out.  Written, since it is read several times."""
+    counted = (
+        df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
+        .groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    )
+    folder = scratch_folder(df.sparkSession, "values")
+    sinks.overwrite(counted, folder)
+    return tables.read_table(df.sparkSession, folder)
+
+
+def _cuts_below(cuts: Column, value: Column, slices: int) -> Column:
     """How many of the ascending cuts are below the value, by halving steps."""
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(SLICES.bit_length()))])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(slices.bit_length()))])
     return F.aggregate(
         steps, F.lit(0),
         lambda found, step: F.when(
@@ -29,24 +44,24 @@ def _cuts_below(cuts: Column, value: Column) -> Column:
 
 def exact_percentiles(df: DataFrame, column: str, points: Mapping[str, float]) -> DataFrame:
     """One row with the linearly interpolated percentile of each point."""
-    # n > 0 always holds; it keeps the count in every use of this aggregate, so
-    # that all of them are the same plan and share one shuffle.
-    counted = (
-        df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
-        .groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
-    )
-    # A sketch of fixed size over the distinct values.  Any cuts give the exact
-    # result; good ones only keep the slices even.
+    return percentiles_of(counted_values(df, column), points)
+
+
+def percentiles_of(counted: DataFrame, points: Mapping[str, float]) -> DataFrame:
+    """The same from counted values.  Slices keep their size however many values there are."""
+    slices = counted.count() // SLICE_VALUES + 2
+    # A sketch over the distinct values.  Any cuts give the exact result; good
+    # ones only keep the slices even.
     cuts = counted.agg(
         F.array_distinct(
-            F.percentile_approx("v", [i / SLICES for i in range(1, SLICES)], 10 * SLICES)
+            F.percentile_approx("v", [i / slices for i in range(1, slices)], 10 * slices)
         )
     ).scalar()
     sliced = counted.select("v", "n", cuts.alias("cuts")).select(
-        "v", "n", _cuts_below(F.col("cuts"), F.col("v")).alias("slice")
+        "v", "n", _cuts_below(F.col("cuts"), F.col("v"), slices).alias("slice")
     )
 
-    # At most SLICES rows, so a window without partitions is small.
+    # One row a slice, so a window without partitions is small.
     by_slice = Window.orderBy("slice")
     before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
     everything = by_slice.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

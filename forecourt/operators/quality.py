@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.operators.percentiles import exact_percentiles
+from forecourt.operators.percentiles import counted_values, percentiles_of
 
 AUDITED = ["marca", "tipo_normalizado", "km_bucket", "anio", "edad_anios", "km", "precio"]
 
@@ -31,19 +31,25 @@ def counts_by_label(df: DataFrame, column: str) -> DataFrame:
 
 
 def describe_number(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact interpolated quartiles."""
-    value = F.col(column).cast("double")
-    summary = df.agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+    """Count, mean, sample deviation, extremes and exact interpolated quartiles.
+
+    The values are counted once; everything else comes from the counts.
+    """
+    counted = counted_values(df, column)
+    v, n = F.col("v"), F.col("n")
+    whole = counted.agg(F.sum(n).alias("count"), F.try_divide(F.sum(v * n), F.sum(n)).alias("mean"))
+    mean = whole.select("mean").scalar()
+    spread = counted.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("count"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"),
+        F.sum((v - mean) * (v - mean) * n).alias("squares"),
     )
-    quartiles = exact_percentiles(df, column, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    quartiles = percentiles_of(counted, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     packed = quartiles.select(F.struct("p25", "p50", "p75")).scalar()
-    return summary.withColumn("_q", packed).select(
-        "count", "mean", "std", "min", "_q.p25", "_q.p50", "_q.p75", "max"
+    deviation = F.sqrt(F.try_divide(F.col("squares"), F.col("count") - 1))
+    return spread.withColumn("_q", packed).select(
+        "count", mean.alias("mean"), deviation.alias("std"), "min", "_q.p25", "_q.p50", "_q.p75", "max"
     )
 
 

@@ -1,24 +1,29 @@
-"""A shared folder for intermediate tables."""
+"""Shared folders for intermediate tables."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_WAREHOUSE = "spark.sql.warehouse.dir"
+_named: list[str] = []
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below the one the cluster names in `spark.checkpoint.dir`.
+    """A new folder name below `spark.checkpoint.dir`, else below the warehouse.
 
-    Without that setting only a local session may fall back to a temporary
-    folder: on a cluster no other machine would see it.
+    Both are seen by all machines of a cluster.  `clear` removes the folders.
     """
-    shared = spark.conf.get(_SETTING, None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder all executors share")
-        shared = tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/forecourt-{purpose}-{uuid.uuid4().hex}"
+    shared = spark.conf.get(_SETTING, None) or f"{spark.conf.get(_WAREHOUSE)}/scratch"
+    folder = f"{shared.rstrip('/')}/forecourt-{purpose}-{uuid.uuid4().hex}"
+    _named.append(folder)
+    return folder
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the folders named so far; frames that still read them end with it."""
+    while _named:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_named.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -25,6 +25,22 @@ def read_table(
     return reader.load(target)
 
 
+def exists(spark: SparkSession, target: str) -> bool:
+    if not is_path(target):
+        return spark.catalog.tableExists(target)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def discard(spark: SparkSession, target: str) -> None:
+    """Drop a table, or delete its folder."""
+    if not is_path(target):
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        return
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def optional_table(
     spark: SparkSession,
     target: str,

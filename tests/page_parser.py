@@ -1,31 +1,13 @@
-"""Tolerant page reading for markup outside the grammar of `functions.html`.
-
-Unclosed or nested rows need a real parser, so this path runs Python inside
-the tasks (Arrow batches, one page at a time).  The expressions of
-`functions.html` are the fast path; both give the same fields on markup that
-the grammar covers.
-"""
+"""A page reader on the standard library's parser: what the expressions are held against."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
-
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
         "track", "wbr"}
 SILENT = {"script", "style", "template"}
 
-FIELDS = T.StructType([
-    T.StructField("url", T.StringType()),
-    T.StructField("specs", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("price_text", T.StringType()),
-    T.StructField("links", T.ArrayType(T.StringType())),
-])
-
 
 class _Page(HTMLParser):
     """Collects table rows, the price node and link targets."""
@@ -89,19 +71,3 @@ def read_page(html: str | None) -> tuple[dict[str, str], str, list[str]]:
     }
     price = "0" if page.price is None else "".join(page.price).strip()
     return specs, price, list(page.links)
-
-
-def read_page_fields(pages: DataFrame) -> DataFrame:
-    """(url, html) -> url, specs, price_text, links."""
-
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            read = [read_page(html) for html in frame["html"]]
-            yield pd.DataFrame({
-                "url": frame["url"],
-                "specs": [specs for specs, _, _ in read],
-                "price_text": [price for _, price, _ in read],
-                "links": [links for _, _, links in read],
-            })
-
-    return pages.select("url", "html").mapInPandas(batches, FIELDS)

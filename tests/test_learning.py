@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
@@ -66,30 +65,54 @@ def test_row_minimum(priced):
         split.require_min_rows(priced.limit(99), 100)
 
 
-def test_unseen_and_null_labels_have_no_slot(spark, priced):
+def test_unseen_and_null_labels_have_no_slot(priced):
     rows = split.training_rows(priced)
-    stages = Pipeline(stages=[features.label_indexer(), features.one_hot()]).fit(rows)
+    labels = features.rank_labels(rows)
+
+    def slots(df):
+        known = features.indexed(df, labels)
+        model = features.vectoriser(known)
+        return [r[0] for r in model.transform(known).select(features.hot_slot("marca_ohe")).collect()]
+
     odd = rows.limit(1).withColumn("marca", F.lit("NEVER")).unionByName(
         rows.limit(1).withColumn("marca", F.lit(None).cast("string")))
-    slots = [r[0] for r in stages.transform(odd).select(features.hot_slot("marca_ohe")).collect()]
-    assert slots == [None, None]
+    assert slots(odd) == [None, None]
     most_common = rows.groupBy("marca").count().orderBy(F.desc("count"), "marca").first()[0]
-    first = stages.transform(rows.filter(F.col("marca") == most_common).limit(1))
-    assert first.select(features.hot_slot("marca_ohe")).first()[0] == 0
+    assert slots(rows.filter(F.col("marca") == most_common).limit(1)) == [0]
+
 
+def test_ranks_equal_the_built_in_indexer(priced):
+    from pyspark.ml.feature import StringIndexer
 
-def test_label_lists_are_bounded(priced):
     rows = split.training_rows(priced)
-    features.require_bounded_labels(rows, 1000)
-    with pytest.raises(features.TooManyLabels, match="marca"):
-        features.require_bounded_labels(rows, 5)
+    built_in = StringIndexer(inputCols=fixed.CATEGORY_COLUMNS, outputCols=features.index_columns()).fit(rows)
+    ours = {(r.category, r.label): r.pos for r in features.rank_labels(rows).table.collect()}
+    assert ours == {
+        (c, label): i for c, labels in zip(fixed.CATEGORY_COLUMNS, built_in.labelsArray)
+        for i, label in enumerate(labels)}
+
+
+def test_a_category_of_very_many_labels_trains(spark, priced):
+    rows = split.training_rows(priced).limit(1)
+    many = rows.drop("marca", schema.KEY).crossJoin(spark.range(60_000).select(
+        F.concat(F.lit("B"), "id").alias("marca"), F.col("id").cast("string").alias(schema.KEY)))
+    model = training.fit_price_model(training.forest(numTrees=1, maxDepth=1, featureSubsetStrategy="all"), many)
+    assert model.labels.sizes["marca"] == 60_000
+    assert model.transform(many.limit(5)).count() == 5
 
 
 def test_assembler_skips_missing_numbers(priced):
     rows = split.training_rows(priced)
-    model = Pipeline(stages=features.stages()).fit(rows)
-    gap = rows.limit(3).withColumn("km", F.lit(None).cast("int"))
-    assert model.transform(gap).count() == 0
+    labels = features.rank_labels(rows)
+    gap = features.indexed(rows.limit(3).withColumn("km", F.lit(None).cast("int")), labels)
+    assert features.vectoriser(gap).transform(gap).count() == 0
+
+
+def test_mean_predictor_covers_every_row(spark):
+    train = spark.createDataFrame([("a", "x", 10.0), ("a", "x", 20.0), ("b", "x", 60.0)], "marca STRING, tipo_normalizado STRING, precio DOUBLE")
+    rows = spark.createDataFrame([("a", "x"), ("new", "x"), (None, None)], "marca STRING, tipo_normalizado STRING")
+    out = [(r.marca, r.prediction) for r in evaluation.mean_price_by(train, rows).collect()]
+    assert sorted(out, key=str) == [("a", 15.0), ("new", 30.0), (None, 30.0)]
 
 
 def test_metrics_by_hand(spark):
@@ -114,8 +137,7 @@ def test_forest_beats_the_group_mean_and_repeats(priced):
     train, test = split.split(split.training_rows(priced))
     scores = []
     for n in (3, 9):
-        rows = training.stable_layout(train.repartition(n), 4)
-        model = training.price_pipeline(training.forest(numTrees=10, maxDepth=8)).fit(rows)
+        model = training.fit_price_model(training.forest(numTrees=10, maxDepth=8), train.repartition(n))
         scores.append(evaluation.regression_metrics(model.transform(test)).first())
     baseline = evaluation.regression_metrics(evaluation.mean_price_by(train, test)).first()
     assert scores[0].rmse < 0.6 * baseline.rmse and scores[0].r2 > 0.8
@@ -148,8 +170,8 @@ def test_worst_and_sample(spark):
 
 def test_importance_names(spark, priced):
     rows = split.training_rows(priced)
-    model = training.price_pipeline(training.forest(numTrees=3, maxDepth=4)).fit(rows)
-    found = evaluation.feature_importance(spark, model, model.transform(rows)).collect()
+    model = training.fit_price_model(training.forest(numTrees=3, maxDepth=4), rows)
+    found = evaluation.feature_importance(spark, model.trees, model.labels).collect()
     names = {r.Feature for r in found}
     assert {"anio", "km", "marca_ohe_BRAND#1", "km_bucket_ohe_60k+"} <= names
     assert sum(r.Importance for r in found) == pytest.approx(1, abs=0.01)
@@ -190,7 +212,7 @@ def test_training_run_leaves_everything_behind(spark, priced, tmp_path):
             outcome.metrics["rmse"], rel=1e-9)
     logged = tables.read_table(spark, table, runs.RUNS)
     assert logged.count() == 2
-    assert isinstance(PipelineModel.load(forest.model_path), PipelineModel)
+    assert training.PriceModel.load(spark, forest.model_path).trees.getNumTrees in (3, 6)
 
 
 def test_whole_run_and_rerun(spark, tmp_path):
@@ -201,12 +223,16 @@ def test_whole_run_and_rerun(spark, tmp_path):
     given = medallion.Sources(d.feed, d.pages.drop(schema.DATE))
     day = dt.date(2024, 3, 1)
     first = medallion.run(spark, where, plan, given, as_of_year=2024, day=day)
-    assert first.feed_rows == d.bronze_feed.count() and first.page_rows == d.bronze_pages.count()
+    assert first.feed.rows == d.bronze_feed.count() and first.pages.rows == d.bronze_pages.count()
+    assert first.feed.rows + sum(first.feed.rejected.values()) == d.feed.count()
+    again = medallion.ingest(given, where, day, replace_dates=True)
+    assert [i.rows for i in again] == [first.feed.rows, first.pages.rows]
+    assert tables.read_table(spark, where.locate("bronze_feed")).count() == first.feed.rows
     clean = tables.read_table(spark, where.locate("silver"))
     assert clean.count() == clean.select(schema.KEY).distinct().count()
     before = sorted(keys(clean))
     second = medallion.run(spark, where, plan, as_of_year=2024)
-    assert (second.feed_rows, second.page_rows) == (0, 0)
+    assert (second.feed.rows, second.pages.rows) == (0, 0)
     assert sorted(keys(tables.read_table(spark, where.locate("silver")))) == before
     assert tables.read_table(spark, where.locate("gold")).count() == len(before)
     assert [o.version for o in second.outcomes] == [2]
@@ -225,7 +251,19 @@ def test_feed_only_and_too_few_rows(spark, tmp_path):
 def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "feed").mkdir()
     (tmp_path / "feed" / "a.json").write_text(
-        '{"motorbikes":[{"id":1,"brand":"A","model":"m","year":2010,"kms":5,"price":900}]}\n')
-    main(["--feed", str(tmp_path / "feed"), "--root", str(tmp_path), "--output", str(tmp_path / "o")])
-    printed = capsys.readouterr().out
-    assert "feed rows 1" in printed and "no training" in printed
+        '{"motorbikes":[{"id":1,"brand":"A","model":"m","year":2010,"kms":5,"price":900}]}\n{"motorb')
+    line = ["--feed", str(tmp_path / "feed"), "--root", str(tmp_path), "--output", str(tmp_path / "o"),
+            "--day", "2024-03-01", "--replace-dates"]
+    for _ in range(2):
+        main(line)
+        printed = capsys.readouterr().out
+        assert "feed rows 1" in printed and "no training" in printed and "bad_page: 1" in printed
+    assert tables.read_table(spark, str(tmp_path / "bronze_feed")).count() == 1
+
+
+def test_nothing_good_stops_the_run(spark, tmp_path):
+    d = Inputs(spark, SMALL)
+    where, plan = Tables(root=str(tmp_path)), Training(output_dir=str(tmp_path / "out"))
+    with pytest.raises(medallion.NothingIngested):
+        medallion.run(spark, where, plan, medallion.Sources(feed=d.feed.withColumn("brand", F.lit(""))))
+    assert not tables.exists(spark, where.locate("bronze_feed"))
