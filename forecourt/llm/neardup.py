@@ -10,13 +10,17 @@ similarity of `percent` or more; documents joined by links form a group.
    of one class only are dropped; of the others a class posts itself under its
    rarest ones, as many as it must (all but matches - 1), so that two classes
    with enough in common meet under one of them.
-3. Stars.  Under each token all classes are paired with one leader, chosen anew
-   in each of two rounds: as many pairs as postings.  Pairs of very different
-   size or with too few equal coordinates go; the rest are confirmed on their
-   full sets.
-4. The rest.  Classes that meet under a token but are not yet in one group are
-   paired and confirmed likewise.  Within a group nothing is left to find, so
-   a large group of copies never becomes all its pairs.
+3. Stars.  Under each token all classes are paired with one leader: first the
+   one with most shared coordinates (the least changed of a family of copies),
+   then one by hash.  As many pairs as postings.  Pairs of very different size
+   or with too few equal coordinates go; the rest are confirmed on full sets.
+4. The rest.  Only tokens under which classes of several groups meet stay open.
+   For their classes it is counted how many of their shingles any other of them
+   has: that bounds every intersection, and a class that cannot reach the
+   similarity with the best partner under a token leaves it.  Those left are
+   paired with a leader once more, and then, group against other group, with each
+   other where the bound of the pair allows, and confirmed likewise.  Within a group
+   nothing is left to find, so a family of copies never becomes all its pairs.
 
 Sets are held as 64-bit fingerprints of shingles, and only of classes that are in
 a pair.  Defined cases: null and empty texts have an empty set and are linked
@@ -27,11 +31,10 @@ any number has none); rows of one number are documents of their own.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm import decontaminate, staging, words
@@ -40,7 +43,6 @@ from forecourt.llm.components import components
 SHINGLE = 5
 COORDINATES = 32
 MATCHES = 17
-ROUNDS = 2
 
 _RNG = np.random.default_rng(0xD0C5)
 _FACTORS = _RNG.integers(1, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -130,54 +132,81 @@ class NearDuplicates:
             "classes")
 
     def postings(self) -> DataFrame:
-        """(token, cid, n): each class under its rarest shared tokens."""
+        """(token, cid, n, shared): each class under its rarest shared tokens; shared counts all of these."""
         tokens = self.classes.select("cid", "n", F.explode("tokens").alias("token"))
-        shared = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-        ranked = tokens.join(shared, "token").groupBy("cid", "n").agg(
+        several = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+        ranked = tokens.join(several, "token").groupBy("cid", "n").agg(
             F.sort_array(F.collect_list(F.struct("df", "token"))).alias("held"))
         prefix = F.slice("held", 1, F.greatest(F.lit(0), F.size("held") - (MATCHES - 1)))
         return staging.stage(
-            ranked.select("cid", "n", F.explode(prefix).alias("posting")).select("posting.token", "cid", "n"),
-            "postings")
+            ranked.select("cid", "n", F.size("held").alias("shared"), F.explode(prefix).alias("posting"))
+            .select("posting.token", "cid", "n", "shared"), "postings")
 
-    def near_in_size(self, one: str, other: str):
+    def near_in_size(self, one: str, other: str) -> Column:
         return 100 * F.least(one, other) >= self.percent * F.greatest(one, other)
 
-    def stars(self, postings: DataFrame, turn: int) -> DataFrame:
-        """Pairs (a, b) of each class and the leader under each of its tokens."""
-        leaders = postings.groupBy("token").agg(
-            F.min(F.struct(F.xxhash64("cid", F.lit(turn)).alias("o"), "cid", "n")).alias("leader"))
+    def reachable(self, common: Column, sizes: Column) -> Column:
+        """Whether `common` shingles of sets of `sizes` shingles together are enough."""
+        return 100 * common >= self.percent * (sizes - common)
+
+    def stars(self, postings: DataFrame, first: Column) -> DataFrame:
+        """Pairs (a, b) of each class and the leader under each of its tokens: the least by `first`."""
+        leaders = postings.groupBy("token").agg(F.min(F.struct(first.alias("o"), "cid", "n")).alias("leader"))
         pairs = postings.join(leaders, "token").filter(
             (F.col("cid") != F.col("leader.cid")) & self.near_in_size("n", "leader.n"))
         return pairs.select(F.least("cid", "leader.cid").alias("a"), F.greatest("cid", "leader.cid").alias("b"))
 
-    def rest(self, postings: DataFrame, groups: DataFrame, tried: DataFrame) -> DataFrame:
-        """Pairs under one token and of different groups.  Sizes are met band by band."""
-        placed = postings.join(groups, postings["cid"] == groups["node"], "left").select(
-            "token", "cid", "n", F.coalesce("root", "cid").alias("root"),
-            F.floor(F.log("n") / F.log(F.lit(100 / self.percent))).alias("band"))
-        open_ = placed.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y")
-        placed = placed.join(open_.select("token"), "token")
+    def still_open(self, postings: DataFrame, groups: DataFrame) -> DataFrame:
+        """The postings, with their group (root), under tokens where several groups meet."""
+        names = [c for c in postings.columns if c != "root"]
+        placed = postings.select(*names).join(groups, F.col("cid") == F.col("node"), "left").select(
+            *names, F.coalesce("root", "cid").alias("root"))
+        several = placed.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y")
+        return placed.join(several.select("token"), "token")
+
+    def bounded(self, open_: DataFrame, sets: DataFrame) -> DataFrame:
+        """Postings of the classes that could still be linked under their token; shared counts shingles now."""
+        shingles = sets.select("cid", F.explode("shingles").alias("shingle"))
+        several = shingles.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+        shared = shingles.join(several, "shingle").groupBy("cid").agg(F.count("*").alias("shared"))
+        known = open_.drop("shared").join(shared, "cid").filter(100 * F.col("shared") >= self.percent * F.col("n"))
+        best = known.groupBy("token").agg(F.max("shared").alias("most"), F.min("n").alias("smallest"))
+        partner = F.greatest("smallest", F.ceil(F.col("n") * self.percent / 100))
+        return staging.stage(
+            known.join(best, "token")
+            .filter(self.reachable(F.least("shared", "most"), F.col("n") + partner)).drop("most", "smallest"),
+            "bounded")
+
+    def across(self, open_: DataFrame) -> DataFrame:
+        """Pairs under one token, of different groups, whose bound allows a link.  Sizes are met band by band."""
+        placed = open_.withColumn("band", F.floor(F.log("n") / F.log(F.lit(100 / self.percent))))
         other = placed.select(
             "token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("cid").alias("cid2"),
-            F.col("n").alias("n2"), F.col("root").alias("root2"), F.col("band").alias("own"))
+            F.col("n").alias("n2"), F.col("root").alias("root2"), F.col("shared").alias("shared2"),
+            F.col("band").alias("own"))
         met = placed.join(other, ["token", "band"]).filter(
-            (F.col("root") != F.col("root2")) & self.near_in_size("n", "n2")
-            & ((F.col("own") < F.col("band")) | (F.col("cid") < F.col("cid2"))))
-        pairs = met.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
-        return pairs.join(tried, ["a", "b"], "left_anti")
+            (F.col("root") != F.col("root2"))
+            & ((F.col("own") < F.col("band")) | (F.col("cid") < F.col("cid2")))
+            & self.near_in_size("n", "n2") & self.reachable(F.least("shared", "shared2"), F.col("n") + F.col("n2")))
+        return met.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b"))
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Those pairs whose full sets are similar enough."""
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Those pairs whose signatures agree often enough."""
         def side(column: str) -> DataFrame:
             return self.classes.select(F.col("cid").alias(column), F.col("tokens").alias(f"tokens_{column}"))
 
-        likely = staging.stage(
+        return staging.stage(
             pairs.join(side("a"), "a").join(side("b"), "b")
             .filter(F.size(F.array_intersect("tokens_a", "tokens_b")) >= MATCHES).select("a", "b"),
-            "pairs")
-        wanted = likely.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-        samples = self.classes.join(wanted, "cid").select("cid", "sample.id", "sample.h")
+            "likely")
+
+    def sets_of(self, wanted: DataFrame) -> DataFrame:
+        """(cid, shingles) of the wanted classes.
+
+        Texts are read once more; a bitmap of fixed size keeps most of the
+        others from being shuffled.
+        """
+        samples = self.classes.join(wanted.select("cid").distinct(), "cid").select("cid", "sample.id", "sample.h")
         bits, _ = decontaminate.bitmap_of(samples.select(F.col("h").alias("gram"), F.lit(0).alias("width")))
 
         def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,27 +217,40 @@ class NearDuplicates:
         one_each = body.groupBy("id", "h").agg(F.first("body").alias("body"))
         named = samples.withColumnRenamed("id", "sid").withColumnRenamed("h", "sh")
         texts = named.join(one_each, (F.col("sh") == F.col("h")) & F.col("sid").eqNullSafe(F.col("id")))
-        sets = staging.stage(
+        return staging.stage(
             texts.select("cid", "body").mapInArrow(_collect_sets, "cid BINARY, shingles ARRAY<BIGINT>"), "sets")
 
-        def with_set(column: str) -> DataFrame:
+    def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Those pairs whose full sets are similar enough."""
+        def side(column: str) -> DataFrame:
             return sets.select(F.col("cid").alias(column), F.col("shingles").alias(f"set_{column}"))
 
         both = F.size(F.array_intersect("set_a", "set_b"))
         return staging.stage(
-            likely.join(with_set("a"), "a").join(with_set("b"), "b")
-            .filter(100 * both >= self.percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"),
-            "links")
+            pairs.join(side("a"), "a").join(side("b"), "b")
+            .filter(self.reachable(both, F.size("set_a") + F.size("set_b"))).select("a", "b"), "links")
 
     def groups(self) -> DataFrame:
         """(node, root): classes that are linked with another, and their group."""
         postings = self.postings()
         tried = staging.stage(
-            reduce(DataFrame.union, [self.stars(postings, r) for r in range(ROUNDS)]).distinct(), "stars")
-        links = self.confirmed(tried)
+            self.stars(postings, -F.col("shared")).union(self.stars(postings, F.xxhash64("cid"))).distinct(), "stars")
+        likely = self.likely(tried)
+        links = self.confirmed(likely, self.sets_of(likely.select(F.explode(F.array("a", "b")).alias("cid"))))
+        found = staging.stage(components(links), "groups")
+        open_ = staging.stage(self.still_open(postings, found), "open")
+        if open_.isEmpty():
+            return found
+        sets = self.sets_of(open_)
+        open_ = self.bounded(open_, sets)
+        more = staging.stage(
+            self.stars(open_, -F.col("shared")).distinct().join(tried, ["a", "b"], "left_anti"), "stars")
+        links = links.union(self.confirmed(self.likely(more), sets))
         found = staging.stage(components(links), "groups")
-        more = self.confirmed(self.rest(postings, found, tried))
-        return components(links.union(more)) if not more.isEmpty() else found
+        rest = self.across(self.still_open(open_, found)).distinct()
+        rest = rest.join(tried, ["a", "b"], "left_anti").join(more, ["a", "b"], "left_anti")
+        last = self.confirmed(self.likely(rest), sets)
+        return found if last.isEmpty() else components(links.union(last))
 
     def result(self) -> DataFrame:
         """Per row of docs: id, h, n_shingles, component_id, kept."""
