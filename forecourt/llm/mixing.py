@@ -45,7 +45,7 @@ MOST = 3
 STEPS = 60
 CLOSE = 1e-6
 #: Documents of one source and size that are ranked together, about.
-SLICE = 100_000
+SLICE = 500
 
 
 def sizes(text: str) -> Column:
