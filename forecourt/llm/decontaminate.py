@@ -18,8 +18,8 @@ the joins behind it are exact either way.  Documents are known by their number
 and a hash of their text, so repeated rows all get the same answer.
 
 Defined cases: null and empty texts have no words; a null item number counts for
-hits but not among the items; columns of the input that are named like an output
-column are replaced by it.
+hits but not among the items; `report` looks at no other column of the input,
+`clean` hands all of them on as they are.
 """
 
 from __future__ import annotations
@@ -39,7 +39,6 @@ SHINGLE = 3
 _WINDOW_DDL = "item STRING, window STRING, size INT, place INT, width INT, gram BIGINT"
 _COUNT_DDL = "gram BIGINT, n BIGINT"
 _SCAN_DDL = "id BIGINT, h BIGINT, n_words BIGINT, gram BIGINT, at BIGINT, around STRING, ahead INT"
-OUTPUTS = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
 
 
 class Texts:

@@ -7,8 +7,8 @@ Gaussian kernel, and a threshold between their two clusters (two means,
 iterated) tells content from clutter.  Lines are not taken one by one: they are
 joined in regions (the innermost article, section, cell or division they stand
 in; all of an article is one region), and a region is content where most of its
-text lies in lines above the threshold, so a short paragraph of an article
-stays.  Where a page has an article or main element, other regions do not count.
+text lies outside links in lines above the threshold, so a short paragraph of an
+article stays.  Where a page has an article or main element, other regions do not count.
 
 What is never content: head, scripts, styles, menus, headers, footers, asides,
 forms and buttons, hidden elements, and elements whose class, id or role names
@@ -175,9 +175,9 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     limit = threshold(ratios)
     total: dict[int, int] = {}
     content: dict[int, int] = {}
-    for (line, text), ratio in zip(lines, ratios, strict=True):
+    for (line, text), ratio, outside in zip(lines, ratios, plain.tolist(), strict=True):
         total[line.region] = total.get(line.region, 0) + len(text)
-        content[line.region] = content.get(line.region, 0) + (len(text) if ratio >= limit else 0)
+        content[line.region] = content.get(line.region, 0) + (outside if ratio >= limit else 0)
     chosen = {region for region, n in total.items() if 2 * content[region] >= n}
     if not chosen:
         chosen = {max(content, key=content.get)}

@@ -38,8 +38,8 @@ class Limits:
     """A repeat counts from `least` words on; shares are of the document's words."""
 
     least: int = 10
-    covered: float = 0.5
-    longest: float = 0.4
+    covered: float = 0.3
+    longest: float = 0.2
 
 
 OUTPUTS = [
@@ -83,45 +83,39 @@ def longest_repeats(values: np.ndarray, docs: np.ndarray, least: int) -> tuple[n
     at = at[docs[at] == docs[at + least - 1]]
     keys = _within(words.grams(values, least)[at], docs[at]) if len(at) else np.zeros(0, np.uint64)
     tied = _tied(keys)
-    places, keys = at[tied], keys[tied]
+    places = at[tied]
     if not len(places):
         return places, places
-    # A word that starts no repeat has a rank of its own, by its place.
+    # Suffixes are sorted from every word near a repeat, so that those that share
+    # part of what follows one stand together; all other words have ranks of their own.
+    near = np.bincount(places, minlength=n + 1) - np.bincount(np.minimum(places + 3 * least, n), minlength=n + 1)
+    near = np.flatnonzero(np.cumsum(near)[:-1] > 0)
     rank = -np.arange(1, n + 1)
+    keys = _within(values[near], docs[near])
     order = np.argsort(keys)
-    rank[places[order]] = np.cumsum(np.concatenate([[0], keys[order][1:] != keys[order][:-1]]))
-    levels, reach = [], least
+    rank[near[order]] = np.cumsum(np.concatenate([[0], keys[order][1:] != keys[order][:-1]]))
+    levels, reach = [], 1
     while True:
         levels.append((reach, rank))
-        second = _rank_at(rank, places + reach, places, docs)
-        first = rank[places]
+        first, second = rank[near], _rank_at(rank, near + reach, near, docs)
         order = np.lexsort((second, first))
         a, b = first[order], second[order]
         new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
         if new.all():
             break
         rank = rank.copy()
-        rank[places[order]] = np.cumsum(new) - 1
+        rank[near[order]] = np.cumsum(new) - 1
         reach *= 2
-    suffixes = places[order]
+    suffixes = near[order]
     one, other = suffixes[:-1], suffixes[1:]
     common = np.zeros(len(one), np.int64)
     for reach, rank in reversed(levels):
-        while True:
-            step = _rank_at(rank, one + common, one, docs) == _rank_at(rank, other + common, other, docs)
-            if not step.any():
-                break
-            common[step] += reach
-    going = np.flatnonzero(common)
-    while len(going):
-        x, y = one[going] + common[going], other[going] + common[going]
-        inside = (x < n) & (y < n)
-        going, x, y = going[inside], x[inside], y[inside]
-        step = (values[x] == values[y]) & (docs[x] == docs[one[going]]) & (docs[y] == docs[other[going]])
-        going = going[step]
-        common[going] += 1
+        same = _rank_at(rank, one + common, one, docs) == _rank_at(rank, other + common, other, docs)
+        common[same] += reach
     deepest = np.maximum(np.append(common, 0), np.append(0, common))
-    return suffixes, deepest
+    starts = np.zeros(n, bool)
+    starts[places] = True
+    return suffixes[starts[suffixes]], deepest[starts[suffixes]]
 
 
 def _rank_at(rank: np.ndarray, at: np.ndarray, origin: np.ndarray, docs: np.ndarray) -> np.ndarray:

@@ -31,7 +31,6 @@ files and no rows.
 from __future__ import annotations
 
 import os
-import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -70,7 +69,7 @@ def unpack(body: bytes, n: int, bits: int) -> np.ndarray:
     """The first n ids of a packed block."""
     raw = np.zeros((n, 4), np.uint8)
     if bits % 8 == 0:
-        raw[:, : bits // 8] = np.frombuffer(body, np.uint8, n * bits // 8).reshape(n, -1)
+        raw[:, : bits // 8] = np.frombuffer(body, np.uint8, n * bits // 8).reshape(n, bits // 8)
     else:
         flat = np.unpackbits(np.frombuffer(body, np.uint8), count=n * bits, bitorder="little")
         wide = np.zeros((n, 32), np.uint8)
