@@ -5,8 +5,10 @@ similarity of `percent` or more; documents joined by links form a group.
 
 1. Signatures.  Each document gets `coordinates` minima.  A coordinate and its
    value are one token.  Documents with equal sets are one class from here on.
-2. Postings.  Linked classes have `matches` equal coordinates or more (all but a
-   few in a million at the default: 17 of 32 where 27 are expected).  Tokens
+2. Postings.  Linked classes have `matches` equal coordinates or more.  `sketch`
+   takes both numbers from `percent`, so that a linked pair has fewer with a
+   probability of at most MISSED, 1e-5, whatever the similarity asked for (17 of 32 at 85,
+   15 of 32 at 80; below 31 there are more coordinates).  Tokens
    of one class only are dropped; of the others a class posts itself under its
    rarest ones, as many as it must (all but matches - 1), so that two classes
    with enough in common meet under one of them.
@@ -30,7 +32,8 @@ any number has none); rows of one number are documents of their own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from math import ceil, comb, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +45,9 @@ from forecourt.llm.components import components
 
 SHINGLE = 5
 COORDINATES = 32
-MATCHES = 17
+#: Probability, at most, that a pair of just the similarity asked for has too few equal coordinates.
+MISSED = 1e-5
 
-_RNG = np.random.default_rng(0xD0C5)
-_FACTORS = _RNG.integers(1, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1)
-_MASKS = _RNG.integers(1, 2**63, COORDINATES, dtype=np.uint64)
 _SIGNED_DDL = "id BIGINT, h BIGINT, n BIGINT, cid BINARY, tokens ARRAY<BIGINT>"
 
 
@@ -75,32 +76,58 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return owners[new], shingles[new]
 
 
+def sketch(percent: int) -> tuple[int, int]:
+    """(coordinates, matches): how many minima a signature has, and how many of them a linked pair shares."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent is {percent}, not in 1 to 100")
+    if percent == 100:
+        return COORDINATES, COORDINATES
+    p = percent / 100
+    n = max(COORDINATES, ceil(log(MISSED) / log1p(-p)))
+    missed, matches = (1 - p) ** n, 1
+    while (missed := missed + comb(n, matches) * p**matches * (1 - p) ** (n - matches)) <= MISSED:
+        matches += 1
+    return n, matches
+
+
+def _constants(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
+    """(factors, masks) of the coordinates' hashes."""
+    rng = np.random.default_rng(0xD0C5)
+    factors = rng.integers(1, 2**63, coordinates, dtype=np.uint64) | np.uint64(1)
+    return factors, rng.integers(1, 2**63, coordinates, dtype=np.uint64)
+
+
 def _begins(owners: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]])) if len(owners) else owners
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = words.flat(batch.column(2))
-        for a, b in words.portions(offsets):
-            owners, shingles = shingle_sets(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
-            begins = _begins(owners)
-            n = words.sums(np.ones(len(owners)), owners, b - a)
-            names, tokens = [None] * (b - a), [None] * (b - a)
-            if len(begins):
-                rows = np.empty((len(begins), COORDINATES), np.int64)
-                for k in range(COORDINATES):
-                    hashed = ((shingles ^ _MASKS[k]) * _FACTORS[k]) >> np.uint64(32)
-                    rows[:, k] = np.minimum.reduceat(hashed, begins) | np.uint64(k << 32)
-                size = n[owners[begins]].astype(np.uint64)
-                whole = np.stack([np.add.reduceat(words.mix(shingles ^ m), begins) ^ words.mix(size)
-                                  for m in _MASKS[:2]], axis=1)
-                for doc, row, key in zip(owners[begins].tolist(), rows, whole, strict=True):
-                    names[doc], tokens[doc] = key.tobytes(), row
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(n),
-                pa.array(names, pa.binary()), pa.array(tokens, pa.list_(pa.int64())),
-            ], names=["id", "h", "n", "cid", "tokens"])
+def _signer(coordinates: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    factors, masks = _constants(coordinates)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = words.flat(batch.column(2))
+            for a, b in words.portions(offsets):
+                owners, shingles = shingle_sets(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
+                begins = _begins(owners)
+                n = words.sums(np.ones(len(owners)), owners, b - a)
+                names, tokens = [None] * (b - a), [None] * (b - a)
+                if len(begins):
+                    rows = np.empty((len(begins), coordinates), np.int64)
+                    for k in range(coordinates):
+                        hashed = ((shingles ^ masks[k]) * factors[k]) >> np.uint64(32)
+                        rows[:, k] = np.minimum.reduceat(hashed, begins) | np.uint64(k << 32)
+                    size = n[owners[begins]].astype(np.uint64)
+                    whole = np.stack([np.add.reduceat(words.mix(shingles ^ m), begins) ^ words.mix(size)
+                                      for m in masks[:2]], axis=1)
+                    for doc, row, key in zip(owners[begins].tolist(), rows, whole, strict=True):
+                        names[doc], tokens[doc] = key.tobytes(), row
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(n),
+                    pa.array(names, pa.binary()), pa.array(tokens, pa.list_(pa.int64())),
+                ], names=["id", "h", "n", "cid", "tokens"])
+
+    return sign
 
 
 def _collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,10 +148,11 @@ class NearDuplicates:
 
     def __init__(self, docs: DataFrame, key: str, text: str, percent: int) -> None:
         self.percent = percent
+        coordinates, self.matches = sketch(percent)
         self.body = docs.select(
             staging.quoted(key).cast("long").alias("id"), F.xxhash64(staging.quoted(text)).alias("h"),
             staging.quoted(text).cast("string").alias("body"))
-        self.rows = staging.stage(self.body.mapInArrow(_sign, _SIGNED_DDL), "signatures")
+        self.rows = staging.stage(self.body.mapInArrow(_signer(coordinates), _SIGNED_DDL), "signatures")
         self.classes = staging.stage(
             self.rows.filter("cid IS NOT NULL").groupBy("cid").agg(
                 F.min("id").alias("id"), F.min("n").alias("n"),
@@ -137,7 +165,7 @@ class NearDuplicates:
         several = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
         ranked = tokens.join(several, "token").groupBy("cid", "n").agg(
             F.sort_array(F.collect_list(F.struct("df", "token"))).alias("held"))
-        prefix = F.slice("held", 1, F.greatest(F.lit(0), F.size("held") - (MATCHES - 1)))
+        prefix = F.slice("held", 1, F.greatest(F.lit(0), F.size("held") - (self.matches - 1)))
         return staging.stage(
             ranked.select("cid", "n", F.size("held").alias("shared"), F.explode(prefix).alias("posting"))
             .select("posting.token", "cid", "n", "shared"), "postings")
@@ -197,7 +225,7 @@ class NearDuplicates:
 
         return staging.stage(
             pairs.join(side("a"), "a").join(side("b"), "b")
-            .filter(F.size(F.array_intersect("tokens_a", "tokens_b")) >= MATCHES).select("a", "b"),
+            .filter(F.size(F.array_intersect("tokens_a", "tokens_b")) >= self.matches).select("a", "b"),
             "likely")
 
     def sets_of(self, wanted: DataFrame) -> DataFrame:

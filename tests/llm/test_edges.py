@@ -117,6 +117,28 @@ def test_a_large_group_of_near_copies_is_one_group(spark):
     assert {out[i] for i in range(300)} == {0} and out[999] == 999
 
 
+@pytest.mark.parametrize("percent", [5, 30, 50, 80, 85, 95])
+def test_links_are_missed_once_in_100000_at_any_similarity(percent):
+    from math import comb
+
+    n, matches = neardup.sketch(percent)
+    p = percent / 100
+    missed = [sum(comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(m)) for m in (matches, matches + 1)]
+    assert matches >= 1 and missed[0] <= 1e-5 < missed[1] * 1.001
+    assert neardup.sketch(85) == (32, 17)
+
+
+def test_pairs_of_half_their_shingles_are_found(spark):
+    # 104 shingles each, 70 in common: similarity 70 / 138 = 0.507.
+    rows = []
+    for pair in range(60):
+        words_of = [[f"p{pair}c{i}" for i in range(74)] + [f"p{pair}s{side}w{i}" for i in range(34)] for side in (0, 1)]
+        rows += [(2 * pair + side, " ".join(w)) for side, w in enumerate(words_of)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    out = {r.id: r.component_id for r in neardup.group(docs, percent=50).collect()}
+    assert out == {i: i // 2 * 2 for i in range(120)}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(400).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(4)
     more = spark.createDataFrame([(1000, 1001), (1002, 1001)], "a BIGINT, b BIGINT")
