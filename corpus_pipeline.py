@@ -18,7 +18,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
+    """One document of each group stays; links from a similarity of 0.8 on, over shingles of five words."""
     return neardup.deduplicate(docs)
 
 

@@ -294,12 +294,12 @@ class NearDuplicates:
             F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def group(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
+def group(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """Per row of docs: id, h (hash of the text), n_shingles, root (null: no shingles), component_id, kept."""
     return NearDuplicates(docs, key, text, percent).result()
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """One row of each group, with all its columns; rows without shingles all stay."""
     found = staging.stage(group(docs, key, text, percent), "grouped").filter("root IS NOT NULL")
     order = F.struct(F.col("id").isNull().alias("last"), "id", "h")
@@ -319,8 +319,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """Every document of the table with its group."""
-    return group(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
+    """Every document of the table with its group, at 85."""
+    return group(spark.read.parquet(f"{sf_dir}/documents.parquet"), percent=85).select(
         F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 

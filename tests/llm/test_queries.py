@@ -179,6 +179,39 @@ def test_passages(result, docs):
             len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest())
 
 
+def test_near_duplicate_stage_equals_brute_force_at_80(spark, docs):
+    import corpus_pipeline
+
+    twenty = [f"t{i}" for i in range(24)]
+    texts = docs | {10**9: " ".join(twenty), 10**9 + 1: " ".join([*twenty, *"abcd"]),  # 20 of 24, 0.83
+                    10**9 + 2: " ".join([*twenty[1:], *"efghij"])}  # 19 of 26
+    sets, root = {}, {d: d for d in texts}
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    holders = defaultdict(list)
+    for doc, text in texts.items():
+        found = SPACED.findall(text.translate(lower))
+        sets[doc] = {tuple(found[i:i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
+        for shingle in sets[doc]:
+            holders[shingle].append(doc)
+
+    def top(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    both = Counter((a, b) for held in holders.values() for a in held for b in held if a < b)
+    between_limits = 0
+    for (a, b), n in both.items():
+        union = len(sets[a]) + len(sets[b]) - n
+        between_limits += 80 * union <= 100 * n < 85 * union
+        if 100 * n >= 80 * union and top(a) != top(b):
+            one, other = sorted((top(a), top(b)))
+            root[other] = one
+    table = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    left = dict(corpus_pipeline.STAGES)["near-duplicates"](spark, table, SMALL)
+    assert between_limits and sorted(r.doc_id for r in left.collect()) == sorted(d for d in root if top(d) == d)
+
+
 def test_pipeline_agrees_with_its_operators(spark, result, docs):
     import corpus_pipeline
 
