@@ -4,11 +4,14 @@ The standard library's parser streams events; block-level tags cut the page
 into lines.  Each line has a ratio: characters of its text outside links, by
 the tags seen in it.  The ratios are smoothed over neighbouring lines by a
 Gaussian kernel, and a threshold between their two clusters (two means,
-iterated) tells content from clutter.  Lines are not taken one by one: they are
+iterated on square roots, so that a few long lines do not make clutter of shorter
+ones) tells content from clutter.  Lines are not taken one by one: they are
 joined in regions (the innermost article, section, cell or division they stand
-in; all of an article is one region), and a region is content where most of its
-text lies outside links in lines above the threshold, so a short paragraph of an
-article stays.  Where a page has an article or main element, other regions do not count.
+in, inside an article or main element too), and a region is content where most of
+its text lies outside links in lines above the threshold, so a short paragraph
+beside longer ones of its region stays.  All lines of the page are smoothed and
+divided together.  An article or main element decides nothing by itself: its lines
+have their ratios weighted by ARTICLE_WEIGHT before that.
 
 What is never content: head, scripts, styles, menus, headers, footers, asides,
 forms and buttons, hidden elements, and elements whose class, id or role names
@@ -51,6 +54,10 @@ CLUTTER_NAMES = re.compile(
 CLUTTER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 SIGMA = 1.5
+#: Factor up to which the means of two clusters count as one.
+ONE_CLUSTER = 2
+#: Factor of the ratios of lines inside an article or main element.
+ARTICLE_WEIGHT = 1.5
 
 
 @dataclass
@@ -107,7 +114,7 @@ class Lines(HTMLParser):
             self.clutter += hides
             if tag in ARTICLES:
                 self.articles += 1
-            if tag in REGIONS and (not self.articles or tag in ARTICLES and self.articles == 1):
+            if tag in REGIONS:
                 self.regions += 1
                 self.region = self.regions
             self.fresh = True
@@ -136,20 +143,19 @@ class Lines(HTMLParser):
 
 
 def threshold(ratios: np.ndarray) -> float:
-    """Between the means of the two clusters of the ratios; below all of them where there is one cluster."""
-    low, high = float(ratios.min()), float(ratios.max())
-    if high <= 2 * low:
-        return low
+    """Between the means of the two clusters of the ratios, by their square roots; all is content where there is one."""
+    scale = np.sqrt(ratios)
+    low, high = float(scale.min()), float(scale.max())
     for _ in range(30):
         middle = (low + high) / 2
-        above = ratios > middle
+        above = scale > middle
         if above.all() or not above.any():
             break
-        new = float(ratios[~above].mean()), float(ratios[above].mean())
+        new = float(scale[~above].mean()), float(scale[above].mean())
         if new == (low, high):
             break
         low, high = new
-    return (low + high) / 2
+    return ((low + high) / 2) ** 2 if high * high > ONE_CLUSTER * low * low else float(ratios.min())
 
 
 def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -166,12 +172,11 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     parser.close()
     lines = [(line, " ".join("".join(line.pieces).split())) for line in parser.lines]
     lines = [(line, text) for line, text in lines if text]
-    if any(line.in_article for line, _ in lines):
-        lines = [(line, text) for line, text in lines if line.in_article]
     if not lines:
         return ""
     plain = np.array([max(0, len(text) - line.linked) for line, text in lines], float)
-    ratios = smoothed(plain / np.array([max(1, line.tags) for line, _ in lines]), sigma)
+    weights = np.array([ARTICLE_WEIGHT if line.in_article else 1.0 for line, _ in lines])
+    ratios = smoothed(weights * plain / np.array([max(1, line.tags) for line, _ in lines]), sigma)
     limit = threshold(ratios)
     total: dict[int, int] = {}
     content: dict[int, int] = {}

@@ -303,6 +303,31 @@ def test_html(spark):
     assert extract_html.extract(df.limit(0)).count() == 0
 
 
+PARAGRAPHS = [" ".join(f"{word}{i}" for i in range(30)) for word in ("alpha", "beta", "gamma", "delta")]
+STORY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+LINKS = "<div><a href=a>one link here</a> <a href=b>two link here</a> <a href=c>three link</a></div>"
+SIDE = "<div><p>Opening hours</p><p>Monday to Friday</p><p>Call us</p><p>Find us</p></div>"
+MORE = "<div><h3>More</h3><ul><li><a href=x>Some other story</a></li><li><a href=y>Yet another story</a></li></ul></div>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<main>{LINKS}<div>{STORY}</div>{SIDE}{MORE}</main>",
+    f"<main>{LINKS}{STORY}{SIDE}{MORE}</main>",
+    f"<main>{LINKS}<article>{STORY}</article>{SIDE}{MORE}</main>",
+    f"<main><table><tr><td>{LINKS}</td><td>{STORY}</td></tr></table></main>",
+    f"<article><h3>Teaser title</h3><p>A teaser of a few words only.</p></article><div>{STORY}</div>",
+])
+def test_html_the_method_decides_inside_and_outside_articles(page):
+    assert extract_html.main_text(page) == " ".join(PARAGRAPHS)
+
+
+def test_html_short_sections_stay():
+    texts = [f"Head {n} " + " ".join(["word"] * n) for n in (80, 20, 60, 15, 90)]
+    sections = "".join(f"<section><h2>{t[:7]}</h2><p>{t[8:]}</p></section>" for t in texts)
+    for page in (f"<article>{sections}</article>", f"<main>{LINKS}{sections}{MORE}</main>"):
+        assert extract_html.main_text(page) == " ".join(texts)
+
+
 def test_suffixes(odd, none):
     out = suffixes.remove_repeats(odd).collect()
     assert len(out) == 13
