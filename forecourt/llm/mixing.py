@@ -9,8 +9,10 @@ multiplier a source, and the rates are tilted exponentially by size:
 
 Newton's method solves the dual.  Rates depend on source and size alone, so the
 iterations run over the counted sizes of each source, not over documents: one
-step is one aggregation of that table, the multipliers stay a table too.  A step
-that does not lower the residual is halved.
+step is one aggregation of that table, the multipliers stay a table too.  Each source
+keeps the multipliers known to give too little and too much; a step that leaves them,
+starts where every document is at its limit (slope 0) or did not halve the residual
+is replaced by their middle.  Running out of steps is an error.
 
 Rates become copies without drift.  For each source the counted sizes are taken
 from the largest to the smallest; each gives the nearest number of whole copies
@@ -87,33 +89,42 @@ def multipliers(cells: DataFrame, wanted: DataFrame, most: float = MOST, steps:
     """
     means = cells.groupBy("source").agg(
         F.greatest(F.sum(F.col("size") * F.col("count")) / F.sum("count"), F.lit(1e-9)).alias("mean"))
+    nowhere = F.lit(None).cast("double")
     state = wanted.withColumnRenamed("source", "s").join(
         means, F.col("s").eqNullSafe(F.col("source"))).select(
-        "source", "total", "target", "mean", F.lit(0.0).alias("at"), F.lit(0.0).alias("multiplier"),
+        "source", "total", "target", "mean", nowhere.alias("low"), nowhere.alias("high"), F.lit(0.0).alias("multiplier"),
         F.lit(float("inf")).alias("residual"), (F.col("target") >= most * F.col("total")).alias("done"))
     state = staging.stage(state, "multipliers")
     for _ in range(steps):
         joined = cells.withColumnRenamed("source", "s").join(state, F.col("s").eqNullSafe(F.col("source")))
         rate = F.least(F.lit(float(most)), F.exp(F.least(F.col("multiplier") * F.col("size") / F.col("mean"), F.lit(50.0))))
         free = rate < most
-        one = joined.groupBy("source", "total", "target", "mean", "at", "multiplier", "residual", "done").agg(
+        one = joined.groupBy("source", "total", "target", "mean", "low", "high", "multiplier", "residual", "done").agg(
             F.sum(rate * F.col("size") * F.col("count")).alias("given"),
             F.sum(F.when(free, rate * F.col("size") * F.col("size") / F.col("mean") * F.col("count")).otherwise(0.0))
             .alias("slope"))
         off = F.abs(F.col("given") - F.col("target"))
-        # From a point that made things worse, go half way back; else on by Newton.
-        worse = off > F.col("residual")
-        newton = F.col("multiplier") - F.try_divide(F.col("given") - F.col("target"), F.col("slope"))
-        done = F.col("done") | (off <= CLOSE * F.greatest(F.col("target"), F.lit(1.0))) | (
-            (F.col("slope") <= 0) & ~worse)
+        short = F.col("given") < F.col("target")
+        one = one.select(
+            "source", "total", "target", "mean", "multiplier", "residual", off.alias("off"),
+            F.when(short, F.col("multiplier")).otherwise(F.col("low")).alias("low"),
+            F.when(short, F.col("high")).otherwise(F.col("multiplier")).alias("high"),
+            F.when(F.col("slope") > 0, F.col("multiplier") - (F.col("given") - F.col("target")) / F.col("slope")).alias("newton"),
+            (F.col("done") | (off <= CLOSE * F.greatest(F.col("target"), F.lit(1.0)))).alias("done"))
+        # Without one of the two (null), all steps of Newton's are inside and none is too slow.
+        inside = F.coalesce(F.col("newton") > F.col("low"), F.lit(True)) & F.coalesce(F.col("newton") < F.col("high"), F.lit(True))
+        middle = (F.col("low") + F.col("high")) / 2
+        slow = F.col("newton").isNull() | ~inside | (F.col("off") > F.col("residual") / 2)
         state = staging.stage(one.select(
-            "source", "total", "target", "mean",
-            F.when(worse, F.col("at")).otherwise(F.col("multiplier")).alias("at"),
-            F.when(done, F.col("multiplier")).when(worse, (F.col("at") + F.col("multiplier")) / 2)
-            .otherwise(newton).alias("multiplier"),
-            F.when(worse, F.col("residual")).otherwise(off).alias("residual"), done.alias("done")), "multipliers")
+            "source", "total", "target", "mean", "low", "high",
+            F.when(F.col("done"), F.col("multiplier")).when(slow & middle.isNotNull(), middle).otherwise(F.col("newton"))
+            .alias("multiplier"),
+            F.col("off").alias("residual"), "done"), "multipliers")
         if state.filter(~F.col("done")).isEmpty():
-            break
+            return state
+    left = state.filter(~F.col("done")).agg(F.count("*")).first()[0]
+    if left:
+        raise RuntimeError(f"{left} sources are not at their targets after {steps} steps")
     return state
 
 

@@ -190,6 +190,27 @@ def test_mixing_balances_many_documents(spark):
     assert all(abs(r.taken - r.target) <= 40 for r in out)
 
 
+@pytest.mark.parametrize("lengths", [[500], [500] * 40, list(range(400, 601, 5)), [475, 500, 525] * 9, [1, 2, 5, 40, 9000]])
+def test_mixing_reaches_targets_of_sources_of_near_equal_lengths(spark, lengths):
+    times = [0.3, 1.0, 2.1, 2.2, 2.5, 2.8, 2.9, 2.99, 3.0]
+    cells = spark.createDataFrame(
+        [(f"s{t}", size, lengths.count(size)) for t in times for size in set(lengths)], "source STRING, size BIGINT, count BIGINT")
+    total = sum(lengths)
+    wanted = spark.createDataFrame([(f"s{t}", total, t * total) for t in times], "source STRING, total BIGINT, target DOUBLE")
+    out = mixing.multipliers(cells, wanted).filter("target < 3 * total").collect()
+    assert len(out) == len(times) - 1
+    for r in out:
+        given = sum(min(3.0, np.exp(min(r.multiplier * size / r.mean, 50))) * size for size in lengths)
+        assert given == pytest.approx(r.target, rel=2e-6)
+
+
+def test_mixing_says_when_its_steps_run_out(spark):
+    cells = spark.createDataFrame([("s", 500, 40)], "source STRING, size BIGINT, count BIGINT")
+    wanted = spark.createDataFrame([("s", 20_000, 44_000.0)], "source STRING, total BIGINT, target DOUBLE")
+    with pytest.raises(RuntimeError, match="1 sources"):
+        mixing.multipliers(cells, wanted, steps=1)
+
+
 def test_tokens(spark, odd, none):
     from tokenizers import Tokenizer
 
