@@ -18,7 +18,9 @@ forms and buttons, hidden elements, and elements whose class, id or role names
 an advert, a notice, a sidebar, a menu, sharing or reader comments.
 
 Defined cases: a null or empty page, and one without text, gives an empty text;
-unclosed and stray tags are tolerated as browsers do; repeated rows are pages of
+unclosed and stray tags are tolerated much as browsers do (a block ends an open
+paragraph, items, cells, rows and options end their own kind, end tags do not reach
+out of a cell); repeated rows are pages of
 their own; other columns of the input are not looked at.
 """
 
@@ -53,6 +55,44 @@ CLUTTER_NAMES = re.compile(
     r"recommend\w*|comments?|respond|replies|disqus|widget)(?:$|[\s_-])", re.IGNORECASE)
 CLUTTER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
+#: Elements that an end tag, or the search for a paragraph to end, does not reach out of.
+SCOPES = frozenset("button caption object table td template th".split())
+#: Parts of tables: their end tags reach out of cells, not of the table.
+PARTS = frozenset("caption tbody td tfoot th thead tr".split())
+SECTIONS = frozenset("caption tbody tfoot thead".split())
+CELLS = frozenset(("td", "th"))
+TERMS = frozenset(("dd", "dt"))
+TABLES = frozenset(("table", "template"))
+LISTED = frozenset(("li", *TERMS))
+#: What bounds the search for an item to end.
+ITEM_BOUNDS = (BLOCKS | CLUTTER | frozenset(("template",))) - LISTED - frozenset("address div p".split())
+#: Blocks that do not end a paragraph.
+INSIDE_PARAGRAPH = PARTS | frozenset("body br html option".split())
+
+
+def implied_ends(tag: str) -> list[tuple[frozenset[str], frozenset[str]]]:
+    """(kinds that a start tag ends, elements that bound the search)."""
+    ends = []
+    if tag in ("li", *TERMS):
+        ends.append((frozenset(("li",)) if tag == "li" else TERMS, ITEM_BOUNDS))
+    if tag == "option":
+        ends.append((frozenset(("option",)), BLOCKS - {"option"} | {"select"}))
+    if tag == "a":
+        ends.append((frozenset(("a",)), SCOPES | BLOCKS))
+    if tag in CELLS:
+        ends.append((CELLS, TABLES | {"tr"}))
+    if tag == "tr":
+        ends.append((CELLS | {"tr", "caption"}, TABLES))
+    if tag in SECTIONS:
+        ends.append((CELLS | SECTIONS | {"tr"}, TABLES))
+    if tag in BLOCKS and tag not in INSIDE_PARAGRAPH:
+        ends.append((frozenset(("p",)), SCOPES))
+    return ends
+
+
+#: By tag; what is not in it ends nothing.
+IMPLIED = {tag: ends for tag in sorted(BLOCKS | {"a"}) if (ends := implied_ends(tag))}
+
 SIGMA = 1.5
 #: Factor up to which the means of two clusters count as one.
 ONE_CLUSTER = 2
@@ -85,13 +125,17 @@ def is_clutter(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
 
 
 class Lines(HTMLParser):
-    """Cuts a page into lines.  The stack holds the open elements that matter."""
+    """Cuts a page into lines.
+
+    The stack holds the open blocks and clutter, and all that is open inside hidden elements.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         # (tag, region before, articles before, clutter before)
         self.open: list[tuple[str, int, int, int]] = []
+        self.places: dict[str, list[int]] = {}  # of each tag in the stack
         self.region = self.regions = self.articles = self.clutter = self.links = 0
         self.fresh = True
 
@@ -101,15 +145,34 @@ class Lines(HTMLParser):
             self.fresh = False
         return self.lines[-1]
 
+    def _last(self, tags: frozenset[str]) -> int:
+        return max((at[-1] for tag, at in self.places.items() if tag in tags), default=-1)
+
+    def _end(self, kinds: frozenset[str], bounds: frozenset[str], once: bool = False) -> None:
+        """Close the innermost open element of these kinds (all of them unless once) inside the bounds."""
+        while not kinds.isdisjoint(self.places) and (k := self._last(kinds)) > self._last(bounds):
+            self.fresh = True
+            _, self.region, self.articles, self.clutter = self.open[k]
+            for tag, *_ in self.open[k:]:
+                self.places[tag].pop()
+                if not self.places[tag]:
+                    del self.places[tag]
+            del self.open[k:]
+            if once:
+                return
+
     def handle_starttag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self.fresh = True
-        hides = is_clutter(tag, attributes)
+        for kinds, bounds in IMPLIED.get(tag, ()):
+            self._end(kinds, bounds)
         if tag in VOID:
             return
+        hides = is_clutter(tag, attributes)
         if tag == "a":
             self.links += 1
-        if hides or tag in REGIONS or tag in CLUTTER:
+        if hides or self.clutter or tag in BLOCKS:
+            self.places.setdefault(tag, []).append(len(self.open))
             self.open.append((tag, self.region, self.articles, self.clutter))
             self.clutter += hides
             if tag in ARTICLES:
@@ -117,7 +180,7 @@ class Lines(HTMLParser):
             if tag in REGIONS:
                 self.regions += 1
                 self.region = self.regions
-            self.fresh = True
+            self.fresh |= bool(hides)
         if not self.clutter:
             self._line().tags += 1
 
@@ -126,12 +189,15 @@ class Lines(HTMLParser):
             self.links = max(0, self.links - 1)
         if tag in BLOCKS:
             self.fresh = True
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                _, self.region, self.articles, self.clutter = self.open[k]
-                del self.open[k:]
-                self.fresh = True
-                break
+        if tag not in self.places:
+            return
+        if tag in PARTS or tag == "table":
+            bounds = TABLES - {tag}
+        elif tag in LISTED:
+            bounds = SCOPES | {"ul", "ol", "dl"}
+        else:
+            bounds = SCOPES - {tag}
+        self._end(frozenset((tag,)), bounds, True)
 
     def handle_data(self, data: str) -> None:
         if self.clutter or not data:

@@ -342,6 +342,27 @@ def test_html_the_method_decides_inside_and_outside_articles(page):
     assert extract_html.main_text(page) == " ".join(PARAGRAPHS)
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<div><p class=ad>Buy<p>{PARAGRAPHS[0]}</div>", PARAGRAPHS[0]),
+    (f"<div><p class=ad>Buy<h2>{PARAGRAPHS[0]}</h2></div>", PARAGRAPHS[0]),
+    (f"<ul><li class=share>x<li>{PARAGRAPHS[0]}<li>{PARAGRAPHS[1]}</ul>", f"{PARAGRAPHS[0]} {PARAGRAPHS[1]}"),
+    (f"<dl><dt class=share>x<dd>{PARAGRAPHS[0]}</dl>", PARAGRAPHS[0]),
+    (f"<table><tr class=ad><td>x<tr><td class=ad>y<td>{PARAGRAPHS[0]}</table>", PARAGRAPHS[0]),
+    (f"<ul class=menu><li>A<ul><li>B</ul><li>C</ul><p>{PARAGRAPHS[0]}", PARAGRAPHS[0]),
+    (f"<p>{PARAGRAPHS[0]} <span class=share><span>i</span>Share</span> {PARAGRAPHS[1]}</p>", f"{PARAGRAPHS[0]} {PARAGRAPHS[1]}"),
+    (f"<div class=ad><table><tr><td></div>Buy</td></tr></table>now</div><p>{PARAGRAPHS[0]}", PARAGRAPHS[0]),
+    (f"<div class=ad><div>a<p>b</div>c</div><p>{PARAGRAPHS[0]}", PARAGRAPHS[0]),
+])
+def test_html_hidden_elements_end_where_browsers_end_them(page, want):
+    assert extract_html.main_text(page) == want
+    assert extract_html.main_text(f"<article>{page}</article>") == want
+
+
+def test_html_many_open_and_stray_tags_take_linear_time():
+    page = "<ul><li><ul>" + "<div>" * 20_000 + "<li></li></p></td>" * 20_000 + "<p class=ad><b>" * 5_000 + "</section>" * 20_000
+    assert extract_html.main_text(page + f"<p>{PARAGRAPHS[0]}") == PARAGRAPHS[0]
+
+
 def test_html_short_sections_stay():
     texts = [f"Head {n} " + " ".join(["word"] * n) for n in (80, 20, 60, 15, 90)]
     sections = "".join(f"<section><h2>{t[:7]}</h2><p>{t[8:]}</p></section>" for t in texts)
