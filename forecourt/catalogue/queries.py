@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from forecourt import fixed_values as fixed
 from forecourt import schema
 from forecourt.catalogue.fixtures import AS_OF_YEAR, Inputs
-from forecourt.config import ModelChoice, Tables, Training
+from forecourt.config import BOOST, FOREST, Tables, Training
 from forecourt.functions import html, numbers
 from forecourt.learning import evaluation, features, runs, split, training
 from forecourt.operators import bronze, extract, gold, links, quality, silver
@@ -23,9 +23,6 @@ from forecourt.sources.scratch import scratch_folder
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
 
-# Small searches keep a query run short; the defaults of `config` are larger.
-SMALL_GRID = ModelChoice("Random Forest", "forest", (3, 5), (3, 5))
-
 
 def query(function: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     """Register under the function's name."""
@@ -560,26 +557,27 @@ def trained(d: Inputs, model) -> tuple[training.PriceModel, DataFrame]:
     return training.fit_price_model(model, train), test
 
 
-def small_forest():
-    return training.forest(numTrees=5, maxDepth=5)
+def first_forest():
+    """The smallest point of the forest's grid."""
+    return training.forest(numTrees=FOREST.sizes[0], maxDepth=FOREST.depths[0])
 
 
 @query
 def rf_predict(d: Inputs) -> DataFrame:
-    model, test = trained(d, small_forest())
+    model, test = trained(d, first_forest())
     return model.transform(test).select("url_anuncio", "precio", "prediction")
 
 
 @query
 def gbt_predict(d: Inputs) -> DataFrame:
-    model, test = trained(d, training.boost(maxIter=3, maxDepth=3))
+    model, test = trained(d, training.boost(maxIter=BOOST.sizes[0], maxDepth=BOOST.depths[0]))
     return model.transform(test).select("url_anuncio", "precio", "prediction")
 
 
 @query
 def cv_grid_results(d: Inputs) -> DataFrame:
     train, _ = split.split(shown(training_frame(d), LEARNED))
-    return training.grid_results(d.spark, training.cross_validate(SMALL_GRID, split.with_fold(train)))
+    return training.grid_results(d.spark, training.cross_validate(FOREST, split.with_fold(train)))
 
 
 def mean_predictions(d: Inputs, source: str = "all") -> DataFrame:
@@ -641,14 +639,14 @@ def report_csv(d: Inputs) -> DataFrame:
 
 @query
 def feature_importance(d: Inputs) -> DataFrame:
-    model, _ = trained(d, small_forest())
+    model, _ = trained(d, first_forest())
     return evaluation.feature_importance(d.spark, model.trees, model.labels)
 
 
 @query
 def model_roundtrip(d: Inputs) -> DataFrame:
     """A stored model predicts what the fitted one does."""
-    model, test = trained(d, small_forest())
+    model, test = trained(d, first_forest())
     folder = scratch_folder(d.spark, "model")
     model.save(folder)
     stored = training.PriceModel.load(d.spark, folder)
@@ -710,9 +708,7 @@ def end_to_end(d: Inputs) -> DataFrame:
     where = Tables(root=folder)
     summary = medallion.run(
         d.spark, where,
-        Training(output_dir=f"{folder}/output", models=(
-            ModelChoice("Random Forest", "forest", (3,), (3, 4)),
-        )),
+        Training(output_dir=f"{folder}/output"),
         medallion.Sources(
             landed.read_feed(d.spark, f"{folder}/landed/feed"),
             landed.read_pages(d.spark, f"{folder}/landed/pages"),

@@ -267,3 +267,31 @@ def test_nothing_good_stops_the_run(spark, tmp_path):
     with pytest.raises(medallion.NothingIngested):
         medallion.run(spark, where, plan, medallion.Sources(feed=d.feed.withColumn("brand", F.lit(""))))
     assert not tables.exists(spark, where.locate("bronze_feed"))
+
+
+@pytest.mark.parametrize("name, sizes", [
+    ("rf_predict", (100, 8)), ("feature_importance", (100, 8)), ("model_roundtrip", (100, 8)), ("gbt_predict", (50, 5)),
+    ("cv_grid_results", FOREST), ("end_to_end", (FOREST,)),
+])
+def test_registered_queries_fit_the_whole_models(spark, monkeypatch, name, sizes):
+    from forecourt.catalogue import queries
+
+    class Asked(Exception):
+        pass
+
+    def fit(model, *rest):
+        size = model.getOrDefault("maxIter" if model.hasParam("maxIter") else "numTrees")
+        raise Asked((size, model.getOrDefault("maxDepth")))
+
+    def search(choice, *rest):
+        raise Asked(choice)
+
+    def run(session, where, plan, *rest, **options):
+        raise Asked(plan.models)
+
+    monkeypatch.setattr(queries.training, "fit_price_model", fit)
+    monkeypatch.setattr(queries.training, "cross_validate", search)
+    monkeypatch.setattr(queries.medallion, "run", run)
+    with pytest.raises(Asked) as asked:
+        queries.REGISTERED[name](spark, "/root/testdata/sf0.001")
+    assert asked.value.args[0] == sizes
