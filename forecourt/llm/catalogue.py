@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.llm import (
     chat,
+    covertree,
     decontaminate,
     extract_html,
+    hardneg,
     mixing,
     neardup,
     passages,
+    periodic,
     quality,
     suffixes,
     tokens,
@@ -31,6 +34,9 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": extract_html.query,
     "op9_suffix_dedup": suffixes.query,
     "op10_passage_dedup": passages.query,
+    "op11_hard_negatives": hardneg.query,
+    "op12_vector_duplicates": covertree.query,
+    "op13_word_runs": periodic.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -41,4 +47,7 @@ ORACLES: dict[str, str] = {
     "op7_chat_format": chat.ORACLE_SQL,
     "op9_suffix_dedup": suffixes.ORACLE_SQL,
     "op10_passage_dedup": passages.ORACLE_SQL,
+    "op11_hard_negatives": hardneg.ORACLE_SQL,
+    "op12_vector_duplicates": covertree.ORACLE_SQL,
+    "op13_word_runs": periodic.ORACLE_SQL,
 }
