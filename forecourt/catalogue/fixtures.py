@@ -113,7 +113,7 @@ FROM {feed}
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Some columns of a given table."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    return tables.spread(spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns))
 
 
 class Inputs:

@@ -1,33 +1,20 @@
-"""Listing-page extraction in one pass over the tags of a page.
+"""Links, labels and address parts of listing pages as column expressions.
 
-A page is cut into tags and texts once; one fold over the tags keeps the open
-elements, as a parser does, and notes where rows, cells and the price node begin
-and end.  Attribute values may be quoted or not and may hold `>`; end tags may be
-missing; tables may be nested.  The text of an element is all text up to its end
-tag, or up to the end of an element around it.
+Rows, cells and the price node of a page are read by `functions.pages`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
-from forecourt.functions.staging import bind
-from forecourt.functions.text import decode_entities, plain_text
+from forecourt.functions.text import decode_entities
 
 _HIDDEN = r"(?is)<(?:!--.*?--|script\b.*?</script\s*|style\b.*?</style\s*)>"
-_ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
 _HREF = rf"""(?is)<a\b(?=\s)(?:[^>"']|"[^"]*"|'[^']*')*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-_PIECE = rf"(?is)<[a-z/!?]{_ATTRIBUTES}>|[^<]+|<"
-_NAME = r"^</?([^\s/>]+)"
-_CLASS = r"""(?is)\sclass\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-_VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
-_NOTED = ["tr", "th", "td", "bdi"]
-_OPEN = "array<struct<name:string,start:int,head:int,cell:int,level:int>>"
-_DONE = "array<struct<name:string,start:int,end:int,head:int,cell:int>>"
 
 
 def rendered(html: Column) -> Column:
@@ -49,160 +36,11 @@ def page_links(html: Column, contains: str, more_parts_than: int) -> Column:
     )
 
 
-def pieces(page: Column) -> Column:
-    """Tags and texts of a rendered page, in order."""
-    return F.regexp_extract_all(page, F.lit(_PIECE), F.lit(0))
-
-
-def _has_class(tag: Column, name: str) -> Column:
-    value = F.btrim(F.regexp_extract(tag, _CLASS, 1), F.lit("\"'"))
-    return F.contains(tag, F.lit(name)) & F.array_contains(F.split(value, r"\s+"), name)
-
-
-def _none() -> Column:
-    return F.lit(None).cast("int")
-
-
-def noted(parts: Column) -> Column:
-    """struct(done, price): the rows, cells and bdi elements of a page, and where the price node starts.
-
-    A row knows its first header and first cell.  The level of an element is 1
-    from an element of class `price` on, and 2 from one of class `amount` below it.
-    """
-    tags = F.filter(
-        F.transform(parts, lambda p, i: F.struct(i.cast("int").alias("i"), p.alias("p"))),
-        lambda t: F.startswith(t["p"], F.lit("<")) & (F.length(t["p"]) > 2),
-    )
-    start = F.struct(
-        F.array().cast(_OPEN).alias("open"), F.array().cast(_DONE).alias("done"), _none().alias("price")
-    )
-
-    def finished(elements: Column, end: Column) -> Column:
-        return F.transform(
-            F.filter(elements, lambda e: e["name"].isin(_NOTED)),
-            lambda e: F.struct(
-                e["name"].alias("name"), e["start"].alias("start"), end.cast("int").alias("end"),
-                e["head"].alias("head"), e["cell"].alias("cell")),
-        )
-
-    def closed(state: Column, name: Column, end: Column) -> Column:
-        open_ = state["open"]
-        back = F.array_position(F.reverse(open_.getField("name")), name)
-        at = (F.size(open_) - back + 1).cast("int")
-        return F.when(back == 0, state).otherwise(F.struct(
-            F.slice(open_, F.lit(1), at - 1).alias("open"),
-            F.concat(state["done"], finished(F.slice(open_, at, F.size(open_)), end)).alias("done"),
-            state["price"].alias("price")))
-
-    def opened(state: Column, name: Column, tag: Column) -> Column:
-        above = F.coalesce(F.try_element_at(state["open"], F.lit(-1))["level"], F.lit(0))
-        level = (
-            F.when((above == 0) & _has_class(tag["p"], "price"), 1)
-            .when((above == 1) & _has_class(tag["p"], "amount"), 2).otherwise(above)
-        )
-
-        def first(field: str, of: str) -> Callable[[Column], Column]:
-            return lambda e: F.when(
-                (name == of) & (e["name"] == "tr") & e[field].isNull(), tag["i"]).otherwise(e[field])
-
-        def with_cell(e: Column) -> Column:
-            return F.struct(
-                e["name"].alias("name"), e["start"].alias("start"), first("head", "th")(e).alias("head"),
-                first("cell", "td")(e).alias("cell"), e["level"].alias("level"))
-
-        around = F.when(name.isin("th", "td"), F.transform(state["open"], with_cell)).otherwise(state["open"])
-        new = F.struct(
-            name.alias("name"), tag["i"].alias("start"), _none().alias("head"), _none().alias("cell"),
-            level.cast("int").alias("level"))
-        price = F.coalesce(state["price"], F.when((name == "bdi") & (above == 2), tag["i"]))
-        return F.struct(
-            F.concat(around, F.array(new)).alias("open"), state["done"].alias("done"), price.alias("price"))
-
-    def step(state: Column, tag: Column) -> Column:
-        def by_name(name: Column) -> Column:
-            return (
-                F.when(F.startswith(tag["p"], F.lit("</")), closed(state, name, tag["i"]))
-                .when(name.isin(_VOID) | F.endswith(tag["p"], F.lit("/>"))
-                      | F.startswith(tag["p"], F.lit("<!")), state)
-                .otherwise(opened(state, name, tag))
-            )
-
-        return bind(F.lower(F.regexp_extract(tag["p"], _NAME, 1)), by_name)
-
-    def finish(state: Column) -> Column:
-        return F.struct(
-            F.concat(state["done"], finished(state["open"], F.size(parts))).alias("done"),
-            state["price"].alias("price"))
-
-    return F.aggregate(tags, start, step, finish)
-
-
-def _text(parts: Column, start: Column, end: Column) -> Column:
-    """Text between two pieces, decoded and stripped."""
-    inside = F.slice(parts, start + 2, F.greatest(end - start - 1, F.lit(0)))
-    words = F.filter(inside, lambda p: ~(F.startswith(p, F.lit("<")) & (F.length(p) > 2)))
-    return plain_text(F.array_join(words, ""))
-
-
-def page_parts(page: Column) -> Column:
-    """struct(parts, found) of a rendered page: what the fields below are read from."""
-    return bind(
-        pieces(page), lambda parts: F.struct(parts.alias("parts"), noted(parts).alias("found")))
-
-
-def spec_entries(read: Column) -> Column:
-    """Array of (label, value), one per row of a page that has a header and a cell, in page order."""
-    parts, done = read["parts"], read["found"]["done"]
-
-    def with_ends(ends: Column) -> Column:
-        rows = F.array_sort(
-            F.transform(
-                F.filter(done, lambda e: (e["name"] == "tr") & e["head"].isNotNull() & e["cell"].isNotNull()),
-                lambda e: F.struct(e["start"].alias("start"), e["head"].alias("head"), e["cell"].alias("cell"))),
-        )
-        return F.transform(
-            rows,
-            lambda r: F.struct(
-                F.lower(_text(parts, r["head"], F.element_at(ends, r["head"]))).alias("label"),
-                _text(parts, r["cell"], F.element_at(ends, r["cell"])).alias("value")))
-
-    return bind(
-        F.map_from_entries(F.transform(done, lambda e: F.struct(e["start"], e["end"]))), with_ends)
-
-
-def spec_map(entries: Column) -> Column:
-    """Entries as a map; of a repeated label the last value stays."""
-
-    def last_only(all_entries: Column) -> Column:
-        return F.filter(
-            all_entries,
-            lambda entry, i: ~F.exists(
-                F.slice(all_entries, i + 2, F.size(all_entries)),
-                lambda later: later["label"] == entry["label"],
-            ),
-        )
-
-    def without_repeats(all_entries: Column) -> Column:
-        labels = all_entries.getField("label")
-        return F.when(F.size(F.array_distinct(labels)) == F.size(labels), all_entries).otherwise(
-            last_only(all_entries)
-        )
-
-    return F.map_from_entries(bind(entries, without_repeats))
-
-
 def first_spec(specs: Column, labels: Sequence[str], default: str) -> Column:
     """Value of the first label present, else the default."""
     return F.coalesce(*[F.try_element_at(specs, F.lit(label)) for label in labels], F.lit(default))
 
 
-def price_text(read: Column) -> Column:
-    """Text of the first bdi below an element of class amount below one of class price; '0' when there is none."""
-    start = read["found"]["price"]
-    node = F.try_element_at(F.filter(read["found"]["done"], lambda e: e["start"] == start), F.lit(1))
-    return F.when(start.isNull(), F.lit("0")).otherwise(_text(read["parts"], start, node["end"]))
-
-
 def kind_segment(url: Column, default: str = fixed.OTHER_KIND) -> Column:
     """Third '/'-part from the end of the address as written."""
     return F.coalesce(F.try_element_at(F.split(url, "/"), F.lit(-3)), F.lit(default))

@@ -28,14 +28,22 @@ _WINDOWS = "".join(
 
 
 def _numeric_character(reference: Column) -> Column:
-    """`&#233;` or `&#xE9;` -> é; numbers that are no character -> U+FFFD."""
-    digits = F.regexp_extract(reference, r"([0-9a-fA-F]+);?$", 1)
+    """`&#233;` or `&#xE9;` -> é, however many zeros lead; numbers that are no character -> U+FFFD.
+
+    Control characters and non-characters of Unicode vanish, as the standard library has it.
+    """
+    digits = F.regexp_extract(reference, r"^&#[xX]?0*([0-9a-fA-F]+);?$", 1)
     is_hex = F.lower(F.substring(reference, 3, 1)) == "x"
-    number = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+    number = F.when(F.length(digits) <= 8, F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits)).cast("bigint")
     usable = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
+    silent = (
+        number.between(0x1, 0x8) | (number == 0xB) | number.between(0xE, 0x1F) | (number == 0x7F)
+        | number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    )
     character = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
     return (
-        F.when(usable, F.translate(character, _CONTROLS, _WINDOWS))
+        F.when(usable & silent, F.lit(""))
+        .when(usable, F.translate(character, _CONTROLS, _WINDOWS))
         .otherwise(F.lit("\ufffd"))
     )
 
@@ -45,7 +53,7 @@ def _numeric_character(reference: Column) -> Column:
 _NAMED = json.dumps({f"&{name}": text for name, text in html5.items()})
 _UNENDED = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
 _CUT = (
-    rf"&(?:[a-zA-Z][a-zA-Z0-9]*;|#[0-9]{{1,7}};?|#[xX][0-9a-fA-F]{{1,6}};?|(?:{_UNENDED}))|[^&]+|&"
+    rf"&(?:[a-zA-Z][a-zA-Z0-9]*;|#[0-9]+;?|#[xX][0-9a-fA-F]+;?|(?:{_UNENDED}))|[^&]+|&"
 )
 
 

@@ -7,13 +7,17 @@ plus `reject_reason` (NULL for a good listing), so `accepted`, `rejected` and
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forecourt import fixed_values as fixed
 from forecourt import schema
 from forecourt.functions import html, labels, numbers
-from forecourt.functions.staging import settle
+from forecourt.functions.pages import read_page
 
 REASON = "reject_reason"
 REASONS = [
@@ -99,20 +103,28 @@ def parse_feed(records: DataFrame) -> DataFrame:
 
 
 def read_page_fields(pages: DataFrame) -> DataFrame:
-    """(url, html) -> url, label map, price text and kind segment.
+    """(url, html) -> label map, price text, url (and the date, if the pages carry one).
 
-    The markup itself is not carried on: later stages only see these fields,
-    and no filter of theirs reads a page a second time.
+    Each page is read once: the reader runs on Arrow batches, no filter of later
+    stages is copied below it, and the markup itself is not carried on.
     """
-    carried = [c for c in (schema.DATE,) if c in pages.columns]
-    rest = [F.col(c) for c in ("url", *carried)]
-    read = settle(pages, html.page_parts(html.rendered(F.col("html"))).alias("read"), *rest)
-    return settle(
-        read,
-        html.spec_map(html.spec_entries(F.col("read"))).alias("specs"),
-        html.price_text(F.col("read")).alias("price_text"),
-        *rest,
-    )
+    rest = [c for c in ("url", schema.DATE) if c in pages.columns]
+    rows = pages.select(F.col("html").cast("string").alias("html"), *rest)
+    fields = T.StructType([
+        T.StructField("specs", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("price_text", T.StringType()),
+        *[rows.schema[c] for c in rest],
+    ])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [read_page(page) for page in batch.column(0).to_pylist()]
+            specs = pa.array([list(f[0].items()) for f in found], pa.map_(pa.string(), pa.string()))
+            prices = pa.array([f[1] for f in found], pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [specs, prices, *batch.columns[1:]], names=fields.names)
+
+    return rows.mapInArrow(read, fields)
 
 
 def parse_page_fields(fields: DataFrame) -> DataFrame:

@@ -25,6 +25,17 @@ def read_table(
     return reader.load(target)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of fewer splits than cores, dealt to all cores.
+
+    Costly work on a few files (a small table, one row group a file) would keep the other
+    cores idle; a table of many splits stays as it is.  Only for plain scans: counting the
+    splits of anything else would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def exists(spark: SparkSession, target: str) -> bool:
     if not is_path(target):
         return spark.catalog.tableExists(target)

@@ -123,7 +123,8 @@ def test_address_parts(column_of, values):
 def test_entities_match_a_real_decoder(column_of):
     values = ["A&ntilde;o", "m&#225;xima", "m&#xE1;x", "&amp;lt;", "&lt;b&gt;", "a & b", "&#38;nbsp;",
               "&nbsp;&euro;", "&#128;5", "&#0;", "&#1114112;", "&#55296;", "x", "&amp;&amp;",
-              "&#128512;"]
+              "&#128512;", "&#0000000233;", "&#x00000E9;", "&#x000000000000041", "&#99999999999999;", "&#1;&#11;&#127;",
+              "&#xFDD0;&#xFFFF;&#x1FFFE;", "&#13;&#10;"]
     assert column_of(values, text.decode_entities) == [python_html.unescape(v) for v in values]
 
 
