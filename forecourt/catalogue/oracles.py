@@ -333,7 +333,8 @@ SELECT round(min(CAST(precio AS DOUBLE)), 2) AS min,
  round(quantile_disc(CAST(precio AS DOUBLE), 0.25), 2) AS p25,
  round(quantile_disc(CAST(precio AS DOUBLE), 0.5), 2) AS p50,
  round(quantile_disc(CAST(precio AS DOUBLE), 0.75), 2) AS p75,
- round(max(CAST(precio AS DOUBLE)), 2) AS max, round(avg(CAST(precio AS DOUBLE)), 4) AS media
+ round(max(CAST(precio AS DOUBLE)), 2) AS max,
+ round(CAST(sum(CAST(CAST(precio AS DOUBLE) AS DECIMAL(38, 10))) AS DOUBLE) / count(precio), 4) AS media
 FROM silver"""),
     "null_audit": _sql("gold", body="\nUNION ALL\n".join(
         f"SELECT '{c}' AS column, count(*) - count({c}) AS nulls FROM gold"

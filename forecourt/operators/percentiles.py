@@ -47,8 +47,12 @@ def exact_percentiles(df: DataFrame, column: str, points: Mapping[str, float]) -
     return percentiles_of(counted_values(df, column), points)
 
 
-def percentiles_of(counted: DataFrame, points: Mapping[str, float]) -> DataFrame:
-    """The same from counted values.  Slices keep their size however many values there are."""
+def percentiles_of(counted: DataFrame, points: Mapping[str, float], discrete: bool = False) -> DataFrame:
+    """The same from counted values.  Slices keep their size however many values there are.
+
+    discrete: the first value with at least that share of all values up to it, in place of
+    an interpolated one.
+    """
     slices = counted.count() // SLICE_VALUES + 2
     # A sketch over the distinct values.  Any cuts give the exact result; good
     # ones only keep the slices even.
@@ -70,7 +74,11 @@ def percentiles_of(counted: DataFrame, points: Mapping[str, float]) -> DataFrame
         F.coalesce(F.sum("depth").over(before), F.lit(0)).alias("start"),
         F.sum("depth").over(everything).alias("total"),
     )
-    places = {name: F.lit(float(p)) * (F.col("total") - 1) for name, p in points.items()}
+    places = {
+        name: F.greatest(F.ceil(F.lit(float(p)) * F.col("total")) - 1, F.lit(0)).cast("double") if discrete
+        else F.lit(float(p)) * (F.col("total") - 1)
+        for name, p in points.items()
+    }
     ranks = [edge(place) for place in places.values() for edge in (F.floor, F.ceil)]
     wanted = totals.filter(
         F.exists(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.functions.exact import exact_corr, fixed_point
 from forecourt.operators.percentiles import counted_values, percentiles_of
 
 AUDITED = ["marca", "tipo_normalizado", "km_bucket", "anio", "edad_anios", "km", "precio"]
@@ -37,13 +38,13 @@ def describe_number(df: DataFrame, column: str) -> DataFrame:
     """
     counted = counted_values(df, column)
     v, n = F.col("v"), F.col("n")
-    whole = counted.agg(F.sum(n).alias("count"), F.try_divide(F.sum(v * n), F.sum(n)).alias("mean"))
+    whole = counted.agg(F.try_divide(F.sum(fixed_point(v) * n).cast("double"), F.sum(n)).alias("mean"))
     mean = whole.select("mean").scalar()
     spread = counted.agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("count"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
-        F.sum((v - mean) * (v - mean) * n).alias("squares"),
+        F.sum(fixed_point((v - mean) * (v - mean)) * n).cast("double").alias("squares"),
     )
     quartiles = percentiles_of(counted, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     packed = quartiles.select(F.struct("p25", "p50", "p75")).scalar()
@@ -53,18 +54,19 @@ def describe_number(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def price_stats(df: DataFrame, column: str = "precio", accuracy: int = 100_000) -> DataFrame:
-    """Extremes, mean and approximate quartiles in one aggregate of bounded size."""
-    quartiles = F.percentile_approx(column, [0.25, 0.5, 0.75], accuracy)
-    return df.agg(
-        F.min(column).alias("min"),
-        quartiles.alias("_q"),
-        F.max(column).alias("max"),
-        F.avg(column).alias("media"),
-    ).select(
-        "min", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-        F.col("_q")[2].alias("p75"), "max", "media",
-    )
+def price_stats(df: DataFrame, column: str = "precio") -> DataFrame:
+    """Extremes, mean and quartiles (values of the column), the same in any order of the rows.
+
+    The values are counted once; everything else comes from the counts.
+    """
+    counted = counted_values(df, column)
+    v, n = F.col("v"), F.col("n")
+    quartiles = percentiles_of(counted, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, discrete=True)
+    packed = quartiles.select(F.struct("p25", "p50", "p75")).scalar()
+    return counted.agg(
+        F.min("v").alias("min"), F.max("v").alias("max"),
+        F.try_divide(F.sum(fixed_point(v) * n).cast("double"), F.sum(n)).alias("media"),
+    ).withColumn("_q", packed).select("min", "_q.p25", "_q.p50", "_q.p75", "max", "media")
 
 
 def null_audit(df: DataFrame, columns: Sequence[str] = AUDITED) -> DataFrame:
@@ -74,8 +76,8 @@ def null_audit(df: DataFrame, columns: Sequence[str] = AUDITED) -> DataFrame:
 
 
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Pearson correlation of each pair, all in one pass."""
-    return df.agg(*[F.corr(a, b).alias(f"corr_{a}_{b}") for a, b in pairs])
+    """Pearson correlation of each pair, all in one pass and in any order of the rows."""
+    return df.agg(*[exact_corr(F.col(a), F.col(b)).alias(f"corr_{a}_{b}") for a, b in pairs])
 
 
 def preview(df: DataFrame, order_by: Sequence[str], n: int = 20) -> DataFrame:

@@ -178,6 +178,49 @@ def test_importance_names(spark, priced):
     assert [r.Importance for r in found] == sorted((r.Importance for r in found), reverse=True)
 
 
+@pytest.mark.parametrize("make, settings", [
+    (training.forest, {"numTrees": 4, "maxDepth": 4}), (training.boost, {"maxIter": 4, "maxDepth": 3})])
+def test_slot_importance_equals_the_built_in(spark, priced, make, settings):
+    trees = training.fit_price_model(make(**settings), split.training_rows(priced)).trees
+    found = {r.slot: r.weight for r in evaluation.slot_importance(spark, trees).collect()}
+    built_in = {i: w for i, w in enumerate(trees.featureImportances.toArray()) if w}
+    assert found.keys() == built_in.keys()
+    assert all(found[i] == pytest.approx(built_in[i], abs=1e-9) for i in found)
+
+
+def test_a_model_without_splits_has_no_importance(spark, priced):
+    rows = split.training_rows(priced).withColumn("precio", F.lit(500.0))
+    model = training.fit_price_model(training.forest(numTrees=2, maxDepth=2), rows)
+    found = evaluation.feature_importance(spark, model.trees, model.labels).collect()
+    assert len(found) == model.labels.slots().count() and {r.Importance for r in found} == {0.0}
+
+
+def test_staged_boosting_scores_equal_separate_fits(priced):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    rows = split.with_fold(split.training_rows(priced), folds=2)
+    choice = ModelChoice("Gradient Boost", "boost", (1, 3), (2, 3))
+    search = training.cross_validate(choice, rows, folds=2)
+    rmse = RegressionEvaluator(labelCol=fixed.TARGET_COLUMN, metricName="rmse")
+    for point, score in zip(search.grid, search.scores):
+        alone = 0.0
+        for fold in range(2):
+            model = training.fit_price_model(search.model.copy(point), rows.filter(F.col(split.FOLD) != fold))
+            alone += rmse.evaluate(model.transform(rows.filter(F.col(split.FOLD) == fold))) / 2
+        assert score == pytest.approx(alone, rel=1e-9)
+
+
+def test_partitions_follow_the_number_of_rows_alone():
+    assert [training.partitions_for(n) for n in (0, 1, 2_001, 40_000, 10**6, 10**9)] == [1, 1, 2, 20, 32, 20_000]
+
+
+def test_metrics_are_bit_equal_in_any_layout(priced):
+    train, test = split.split(split.training_rows(priced))
+    predictions = evaluation.mean_price_by(train, test).cache()
+    found = {tuple(evaluation.regression_metrics(predictions.repartition(n)).first()) for n in (1, 7, 200)}
+    assert len(found) == 1
+
+
 def test_run_table(spark, tmp_path):
     target = str(tmp_path / "runs")
     assert runs.next_version(spark, target, "m") == 1

@@ -80,3 +80,26 @@ def test_guard(spark):
 def test_preview_is_ordered(spark):
     df = spark.range(50).repartition(7)
     assert [r.id for r in quality.preview(df, ["id"], 3).collect()] == [0, 1, 2]
+
+
+def test_profiles_are_bit_equal_in_any_layout(spark):
+    draw = random.Random(2)
+    rows = [(draw.lognormvariate(8, 2), float(draw.randrange(10**6)) / 100, i % 50) for i in range(5000)] + [(None, None, None)]
+    df = spark.createDataFrame(rows, "x DOUBLE, precio FLOAT, km INT").cache()
+    found = set()
+    for n in (1, 7, 200):
+        some = df.repartition(n)
+        found.add((tuple(quality.price_stats(some).first()), tuple(quality.describe_number(some, "x").first()),
+                   tuple(quality.correlations(some, [("x", "precio"), ("km", "precio")]).first())))
+    assert len(found) == 1
+    stats, described, corr = found.pop()
+    values = sorted(r.precio for r in df.collect() if r.precio is not None)
+    assert stats[:5] == (values[0], values[1249], values[2499], values[3749], values[-1])
+    assert stats[5] == pytest.approx(sum(values) / 5000, rel=1e-12)
+    plain = df.agg(F.corr("x", "precio"), F.corr("km", "precio")).first()
+    assert corr == pytest.approx(tuple(plain), rel=1e-6)
+
+
+def test_correlation_of_a_constant_is_null(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (None, 9.0)], "a DOUBLE, b DOUBLE")
+    assert quality.correlations(df, [("a", "b")]).first()[0] is None
