@@ -46,7 +46,7 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 STEPS = 60
 CLOSE = 1e-6
-#: Documents of one source and size that are ranked together, about.
+#: Documents of one source and size that are ranked together, about; the root of their number where that is more.
 SLICE = 500
 
 
@@ -140,15 +140,18 @@ def _deal(cells: pd.DataFrame, most: int) -> pd.DataFrame:
     return cells.assign(copies=copies)[["source", "size", "count", "copies"]]
 
 
+def _named(key: str, text: str, source: str) -> list[Column]:
+    return [
+        staging.quoted(key).cast("long").alias("id"), F.xxhash64(staging.quoted(text)).alias("h"),
+        staging.quoted(source).cast("string").alias("source")]
+
+
 def mix(
     docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-    weights: Sequence[float] = WEIGHTS, most: int = MOST, carry: bool = False,
+    weights: Sequence[float] = WEIGHTS, most: int = MOST,
 ) -> DataFrame:
-    """Per row of docs: id, size, source, source_size, target, copies, taken; with carry also `row`, all its columns."""
-    columns = [
-        staging.quoted(key).cast("long").alias("id"), F.xxhash64(staging.quoted(text)).alias("h"),
-        staging.quoted(source).cast("string").alias("source"), sizes(text).alias("size")]
-    rows = staging.stage(docs.select(*columns), "sizes")
+    """Per row of docs: id, h (hash of the text), size, source, source_size, target, copies, taken."""
+    rows = staging.stage(docs.select(*_named(key, text, source), sizes(text).alias("size")), "sizes")
     cells = staging.stage(rows.groupBy("source", "size").agg(F.count("*").alias("count")), "cells")
     totals = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("count")).alias("total"))
     state = multipliers(cells, targets(totals, weights, most), most).withColumnRenamed("source", "s")
@@ -166,10 +169,8 @@ def mix(
     per_cell = dealt.select(
         F.col("source").alias("c_source"), F.col("size").alias("c_size"), F.expr("copies div count").alias("each"),
         (F.col("copies") % F.col("count")).alias("extra"),
-        F.ceil(F.col("count") / SLICE).cast("long").alias("slices"))
+        F.ceil(F.col("count") / F.greatest(F.lit(SLICE), F.sqrt("count"))).cast("long").alias("slices"))
     chance = F.xxhash64("id", "h")
-    whole = F.struct(*[staging.quoted(c) for c in docs.columns]).alias("row")
-    rows = docs.select(*columns, whole) if carry else rows
     sliced = rows.join(per_cell, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size"))) \
         .withColumn("slice", F.pmod(chance, F.col("slices"))).withColumn("chance", F.xxhash64(F.lit(1), "id", "h"))
     members = sliced.groupBy("source", "size", "slice").agg(F.count("*").alias("members"))
@@ -183,14 +184,39 @@ def mix(
     copies = F.col("each") + (F.col("before") + F.col("rank") <= F.col("extra")).cast("long")
     known = state.select("s", F.col("total").alias("source_size"), "target")
     return ranked.withColumn("copies", copies).join(known, F.col("source").eqNullSafe(F.col("s"))).select(
-        "id", "size", "source", "source_size", "target", "copies",
-        (F.col("copies") * F.col("size")).alias("taken"), *(["row"] if carry else []))
+        "id", "h", "size", "source", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it, with all their columns."""
-    plan = mix(docs, key, text, source, carry=True, **options)
-    return plan.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")
+    """The rows of docs, each as often as the mix takes it, with all their columns.
+
+    Ranks and copies are settled on keys alone; the rows themselves join the numbers of copies
+    once.  Rows of one key, text and source share their copies evenly.
+    """
+    same = ["id", "h", "source"]
+    planned = staging.stage(
+        mix(docs, key, text, source, **options).groupBy(*same)
+        .agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+        .select(*[F.col(c).alias(f"p_{c}") for c in same], "copies", "rows"), "copies")
+    whole = F.struct(*[staging.quoted(c) for c in docs.columns]).alias("row")
+    joined = docs.select(*_named(key, text, source), whole).join(
+        planned, [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in same]).drop(*[f"p_{c}" for c in same])
+
+    def repeated(rows: DataFrame, copies: Column) -> DataFrame:
+        return rows.select(
+            "row", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("copy")).select("row.*")
+
+    out = repeated(joined.filter("rows = 1"), F.col("copies"))
+    if planned.filter("rows > 1").isEmpty():
+        return out
+    placed = staging.stage(staging.running_total(
+        joined.filter("rows > 1").withColumn("one", F.lit(1)), [F.col(c) for c in same], "one", "place"), "placed")
+    first = placed.groupBy(*same).agg(F.min("place").alias("first")).select(
+        *[F.col(c).alias(f"p_{c}") for c in same], "first")
+    several = placed.join(first, [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in same])
+    extra = (F.col("place") - F.col("first") < F.col("copies") % F.col("rows")).cast("long")
+    return out.unionByName(repeated(several, F.expr("copies div rows") + extra))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
