@@ -20,9 +20,10 @@ similarity of `percent` or more; documents joined by links form a group.
    For their classes it is counted how many of their shingles any other of them
    has: that bounds every intersection, and a class that cannot reach the
    similarity with the best partner under a token leaves it.  Those left are
-   paired with a leader once more, and then, group against other group, with each
-   other where the bound of the pair allows, and confirmed likewise.  Within a group
-   nothing is left to find, so a family of copies never becomes all its pairs.
+   paired with a leader once more.  Where several groups still meet, classes stand in
+   blocks of a fixed number; blocks that share a token are compared as whole matrices in
+   one task, on full sets, and return no more links than join what they join.  So a
+   family of near copies never becomes rows of pairs.
 
 Sets are held as 64-bit fingerprints of shingles, and only of classes that are in
 a pair.  Defined cases: null and empty texts have an empty set and are linked
@@ -42,12 +43,20 @@ from pyspark.sql import functions as F
 
 from forecourt.llm import decontaminate, staging, words
 from forecourt.llm.components import components
+from forecourt.llm.covertree import parts
 
 SHINGLE = 5
 COORDINATES = 32
 #: Probability, at most, that a pair of just the similarity asked for has too few equal coordinates.
 MISSED = 1e-5
 
+#: Classes, and their shingles together, of a block; columns of a block's matrix that are held at once.
+BLOCK, BLOCK_SHINGLES, _COLUMNS = 512, 2_000_000, 8192
+
+_BLOCK = pa.schema([
+    ("block", pa.int64()), ("cids", pa.list_(pa.binary())), ("roots", pa.list_(pa.binary())),
+    ("sizes", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))])
+_BLOCK_DDL = "block BIGINT, cids ARRAY<BINARY>, roots ARRAY<BINARY>, sizes ARRAY<BIGINT>, shingles ARRAY<BIGINT>"
 _SIGNED_DDL = "id BIGINT, h BIGINT, n BIGINT, cid BINARY, tokens ARRAY<BIGINT>"
 
 
@@ -143,6 +152,75 @@ def _collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ], names=["cid", "shingles"])
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of consecutive classes (cid, root, shingles)."""
+    from pyspark import TaskContext
+
+    task, made, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
+
+    def block() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((
+            task + made, [r[0] for r in held], [r[1] for r in held], [len(r[2]) for r in held],
+            np.concatenate([r[2] for r in held])), _BLOCK, strict=True)], schema=_BLOCK)
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = (batch.column(0)[i].as_py(), batch.column(1)[i].as_py(),
+                   batch.column(2)[i].values.to_numpy(zero_copy_only=False))
+            if held and (len(held) == BLOCK or size + len(row[2]) > BLOCK_SHINGLES):
+                yield block()
+                made, held, size = made + 1, [], 0
+            held.append(row)
+            size += len(row[2])
+    if held:
+        yield block()
+
+
+def common_counts(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How many shingles each set of one shares with each set of other; both as (sizes, shingles end to end)."""
+    shared = np.intersect1d(one[1], other[1])
+    out = np.zeros((len(one[0]), len(other[0])))
+    sides = []
+    for sizes, shingles in (one, other):
+        column = np.searchsorted(shared, shingles)
+        known = np.flatnonzero(column < len(shared))
+        known = known[shared[column[known]] == shingles[known]]
+        order = known[np.argsort(column[known], kind="stable")]
+        sides.append((np.repeat(np.arange(len(sizes)), sizes)[order], column[order]))
+    for begin in range(0, len(shared), _COLUMNS):
+        dense = []
+        for (rows, columns), (sizes, _) in zip(sides, (one, other), strict=True):
+            a, b = np.searchsorted(columns, (begin, begin + _COLUMNS))
+            matrix = np.zeros((len(sizes), min(_COLUMNS, len(shared) - begin)), np.float32)
+            matrix[rows[a:b], columns[a:b] - begin] = 1
+            dense.append(matrix)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _meeting(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cell = {name: batch.column(name)[i] for name in batch.schema.names}
+                cids, roots, sets = [], [], []
+                for side in "ab":
+                    cids.append(cell[f"{side}_cids"].as_py())
+                    roots.append(np.array(cell[f"{side}_roots"].as_py(), object))
+                    sets.append(tuple(cell[f"{side}_{c}"].values.to_numpy(zero_copy_only=False) for c in ("sizes", "shingles")))
+                both = common_counts(*sets)
+                either = sets[0][0][:, None] + sets[1][0][None, :] - both
+                linked = (100 * both >= percent * either) & (roots[0][:, None] != roots[1][None, :])
+                rows, columns = parts(linked)
+                names = [(cids[0][r], cids[k][at]) for k, stands in enumerate((rows, columns))
+                         for at, r in enumerate(stands.tolist()) if r >= 0 and (k or at != r)]
+                if names:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, pa.binary()) for c in zip(*names, strict=True)], names=["a", "b"])
+
+    return apply
+
+
 class NearDuplicates:
     """The links and groups of one set of documents."""
 
@@ -205,18 +283,30 @@ class NearDuplicates:
             .filter(self.reachable(F.least("shared", "most"), F.col("n") + partner)).drop("most", "smallest"),
             "bounded")
 
-    def across(self, open_: DataFrame) -> DataFrame:
-        """Pairs under one token, of different groups, whose bound allows a link.  Sizes are met band by band."""
-        placed = open_.withColumn("band", F.floor(F.log("n") / F.log(F.lit(100 / self.percent))))
-        other = placed.select(
-            "token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("cid").alias("cid2"),
-            F.col("n").alias("n2"), F.col("root").alias("root2"), F.col("shared").alias("shared2"),
-            F.col("band").alias("own"))
-        met = placed.join(other, ["token", "band"]).filter(
-            (F.col("root") != F.col("root2"))
-            & ((F.col("own") < F.col("band")) | (F.col("cid") < F.col("cid2")))
-            & self.near_in_size("n", "n2") & self.reachable(F.least("shared", "shared2"), F.col("n") + F.col("n2")))
-        return met.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b"))
+    def across(self, open_: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links (a, b) between classes of different groups that share a token, as few as join the same classes.
+
+        Classes stand in blocks, those of one frequent token together; blocks that share a token
+        are compared as matrices inside a task.  No pair of classes is ever a row.
+        """
+        heat = open_.groupBy("token").agg(F.count("*").alias("heat"))
+        homes = open_.join(heat, "token").groupBy("cid", "root").agg(F.max(F.struct("heat", "token")).alias("home"))
+        homes = staging.stage(homes, "homes")
+        order = [F.col("home.heat"), F.col("home.token"), F.col("cid")]
+        blocks = staging.stage(
+            homes.join(sets, "cid").repartitionByRange(homes.count() // BLOCK + 1, *order).sortWithinPartitions(*order)
+            .select("cid", "root", "shingles").mapInArrow(_pack, _BLOCK_DDL), "blocks")
+        held = blocks.select("block", F.explode("cids").alias("cid"))
+        tokens = staging.stage(held.join(open_, "cid").select("block", "token").distinct(), "tokens")
+        other = tokens.select("token", F.col("block").alias("other"))
+        pairs = tokens.join(other, "token").filter(F.col("block") <= F.col("other")).select("block", "other").distinct()
+
+        def side(name: str, key: str) -> DataFrame:
+            return blocks.select(F.col("block").alias(key), *[
+                F.col(c).alias(f"{name}_{c}") for c in ("cids", "roots", "sizes", "shingles")])
+
+        cells = pairs.join(side("a", "block"), "block").join(side("b", "other"), "other")
+        return staging.stage(cells.mapInArrow(_meeting(self.percent), "a BINARY, b BINARY").distinct(), "links")
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Those pairs whose signatures agree often enough."""
@@ -275,9 +365,10 @@ class NearDuplicates:
             self.stars(open_, -F.col("shared")).distinct().join(tried, ["a", "b"], "left_anti"), "stars")
         links = links.union(self.confirmed(self.likely(more), sets))
         found = staging.stage(components(links), "groups")
-        rest = self.across(self.still_open(open_, found)).distinct()
-        rest = rest.join(tried, ["a", "b"], "left_anti").join(more, ["a", "b"], "left_anti")
-        last = self.confirmed(self.likely(rest), sets)
+        open_ = staging.stage(self.still_open(open_, found), "open")
+        if open_.isEmpty():
+            return found
+        last = self.across(open_, sets)
         return found if last.isEmpty() else components(links.union(last))
 
     def result(self) -> DataFrame:
