@@ -38,6 +38,7 @@ from math import ceil, comb, log, log1p
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +51,9 @@ COORDINATES = 32
 #: Probability, at most, that a pair of just the similarity asked for has too few equal coordinates.
 MISSED = 1e-5
 
-#: Classes, and their shingles together, of a block; columns of a block's matrix that are held at once.
-BLOCK, BLOCK_SHINGLES, _COLUMNS = 512, 2_000_000, 8192
+#: Classes of a block at most, fewer where they have more than the usual number of shingles; columns of a
+#: block's matrix that are held at once.
+BLOCK, USUAL, _COLUMNS = 512, 256, 8192
 
 _BLOCK = pa.schema([
     ("block", pa.int64()), ("cids", pa.list_(pa.binary())), ("roots", pa.list_(pa.binary())),
@@ -152,28 +154,13 @@ def _collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ], names=["cid", "shingles"])
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of consecutive classes (cid, root, shingles)."""
-    from pyspark import TaskContext
-
-    task, made, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
-
-    def block() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((
-            task + made, [r[0] for r in held], [r[1] for r in held], [len(r[2]) for r in held],
-            np.concatenate([r[2] for r in held])), _BLOCK, strict=True)], schema=_BLOCK)
-
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = (batch.column(0)[i].as_py(), batch.column(1)[i].as_py(),
-                   batch.column(2)[i].values.to_numpy(zero_copy_only=False))
-            if held and (len(held) == BLOCK or size + len(row[2]) > BLOCK_SHINGLES):
-                yield block()
-                made, held, size = made + 1, [], 0
-            held.append(row)
-            size += len(row[2])
-    if held:
-        yield block()
+def _pack(table: pa.Table) -> pa.Table:
+    """One block's classes (block, cid, root, shingles) as one row."""
+    shingles = table.column("shingles").combine_chunks()
+    sizes = pc.list_value_length(shingles).to_numpy(zero_copy_only=False).astype(np.int64)
+    return pa.Table.from_arrays([pa.array([x], f.type) for x, f in zip((
+        table.column("block")[0].as_py(), table.column("cid").to_pylist(), table.column("root").to_pylist(), sizes,
+        shingles.flatten().to_numpy(zero_copy_only=False)), _BLOCK, strict=True)], schema=_BLOCK)
 
 
 def common_counts(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -290,12 +277,14 @@ class NearDuplicates:
         are compared as matrices inside a task.  No pair of classes is ever a row.
         """
         heat = open_.groupBy("token").agg(F.count("*").alias("heat"))
-        homes = open_.join(heat, "token").groupBy("cid", "root").agg(F.max(F.struct("heat", "token")).alias("home"))
-        homes = staging.stage(homes, "homes")
+        homes = open_.join(heat, "token").groupBy("cid", "root", "n").agg(F.max(F.struct("heat", "token")).alias("home"))
         order = [F.col("home.heat"), F.col("home.token"), F.col("cid")]
+        # Numbered by what stands before, so that blocks have their size whatever the partitions.
+        placed = staging.running_total(homes.withColumn("weight", F.greatest("n", F.lit(USUAL))), order, "weight", "place")
+        numbered = placed.select("cid", "root", F.expr(f"place div {BLOCK * USUAL}").alias("block"))
         blocks = staging.stage(
-            homes.join(sets, "cid").repartitionByRange(homes.count() // BLOCK + 1, *order).sortWithinPartitions(*order)
-            .select("cid", "root", "shingles").mapInArrow(_pack, _BLOCK_DDL), "blocks")
+            numbered.join(sets, "cid").select("block", "cid", "root", "shingles")
+            .groupBy("block").applyInArrow(_pack, _BLOCK_DDL), "blocks")
         held = blocks.select("block", F.explode("cids").alias("cid"))
         tokens = staging.stage(held.join(open_, "cid").select("block", "token").distinct(), "tokens")
         other = tokens.select("token", F.col("block").alias("other"))
