@@ -9,8 +9,7 @@ from pyspark.sql import SparkSession
 
 from forecourt import fixed_values as fixed
 from forecourt.config import BOOST, FOREST, Tables, Training
-from forecourt.plans.medallion import Sources, run
-from forecourt.sources import landed
+from forecourt.plans.medallion import Landed, run
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -27,21 +26,19 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--output", required=True, help="folder for models and reports")
     parser.add_argument("--day", type=dt.date.fromisoformat, help="ingestion date; today when not given")
     parser.add_argument("--replace-dates", action="store_true", help="replace what is stored of the day")
+    parser.add_argument("--keep-rejects", action="store_true", help="store rejected records, to be tried again")
     parser.add_argument("--as-of-year", type=int, help="year of reference; the running one when not given")
     given = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("forecourt").getOrCreate()
     sources = None
     if not given.skip_ingest:
-        sources = Sources(
-            landed.read_feed(spark, given.feed) if given.feed else None,
-            landed.read_pages(spark, given.pages) if given.pages else None,
-        )
+        sources = Landed(given.feed, given.pages)
     models = (FOREST, BOOST) if given.boost else (FOREST,)
     summary = run(
         spark, Tables(root=given.root),
         Training(output_dir=given.output, source=given.source, models=models), sources,
-        given.as_of_year, given.day, given.replace_dates,
+        given.as_of_year, given.day, given.replace_dates, given.keep_rejects,
     )
     print(f"feed rows {summary.feed.rows}, page rows {summary.pages.rows}")
     for name, source in (("feed", summary.feed), ("page", summary.pages)):

@@ -20,6 +20,8 @@ from forecourt.functions import html, labels, numbers
 from forecourt.functions.pages import read_page
 
 REASON = "reject_reason"
+#: What a rejected row was before, as JSON; only where it is asked for.
+RAW = "raw"
 REASONS = [
     "bad_page", "no_id", "bad_year", "bad_km", "bad_price", "bad_option",
     "no_brand", "no_model", "old_year", "negative_km", "no_price",
@@ -49,11 +51,24 @@ def _in_bronze_layout(df: DataFrame, unreadable: Column) -> DataFrame:
         F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
         for f in schema.BRONZE.fields
     ]
-    return df.select(*columns, F.coalesce(unreadable, _rule_broken()).alias(REASON))
+    judged = df.select(
+        *columns, F.coalesce(unreadable, _rule_broken()).alias(REASON), *[F.col(c) for c in (RAW,) if c in present])
+    if RAW not in present:
+        return judged
+    return judged.withColumn(RAW, F.when(F.col(REASON).isNotNull(), F.col(RAW)))
 
 
-def parse_feed(records: DataFrame) -> DataFrame:
-    """Flat feed records (text, numeric or VARIANT fields) -> listings."""
+FEED_FIELDS = [
+    "id", "brand", "model", "year", "kms", "price", "motorbike_type", "cc", "emission_type", "num_seats",
+    "num_keys", "deductible_vat",
+]
+
+
+def parse_feed(records: DataFrame, keep_raw: bool = False) -> DataFrame:
+    """Flat feed records (text, numeric or VARIANT fields) -> listings.
+
+    keep_raw adds what a rejected record was, as JSON; a page that is no JSON has none.
+    """
     types = {f.name: f.dataType for f in records.schema.fields}
 
     def whole(name: str) -> Column:
@@ -85,7 +100,10 @@ def parse_feed(records: DataFrame) -> DataFrame:
         *carried,
         given("cc"), given("num_seats"), given("num_keys"),
         (F.col("bad_page") if "bad_page" in types else F.lit(False)).alias("_bad_page"),
+        *([F.to_json(F.struct(*[c for c in FEED_FIELDS if c in types])).alias(RAW)] if keep_raw else []),
     )
+    if keep_raw:
+        typed = typed.withColumn(RAW, F.when(~F.col("_bad_page"), F.col(RAW)))
     broken_option = (
         (F.col("_cc_given") & F.col("cilindrada_cc").isNull())
         | (F.col("_num_seats_given") & F.col("num_plazas").isNull())
@@ -102,14 +120,16 @@ def parse_feed(records: DataFrame) -> DataFrame:
     return _in_bronze_layout(typed, unreadable)
 
 
-def read_page_fields(pages: DataFrame) -> DataFrame:
+def read_page_fields(pages: DataFrame, keep_raw: bool = False) -> DataFrame:
     """(url, html) -> label map, price text, url (and the date, if the pages carry one).
 
     Each page is read once: the reader runs on Arrow batches, no filter of later
-    stages is copied below it, and the markup itself is not carried on.
+    stages is copied below it, and the markup itself is carried on only for keep_raw.
     """
     rest = [c for c in ("url", schema.DATE) if c in pages.columns]
-    rows = pages.select(F.col("html").cast("string").alias("html"), *rest)
+    raw = [F.to_json(F.struct("url", "html")).alias(RAW)] if keep_raw else []
+    rows = pages.select(F.col("html").cast("string").alias("html"), *rest, *raw)
+    rest += [RAW] * keep_raw
     fields = T.StructType([
         T.StructField("specs", T.MapType(T.StringType(), T.StringType())),
         T.StructField("price_text", T.StringType()),
@@ -130,7 +150,7 @@ def read_page_fields(pages: DataFrame) -> DataFrame:
 def parse_page_fields(fields: DataFrame) -> DataFrame:
     """Fields of listing pages -> listings."""
     specs, url = F.col("specs"), F.col("url")
-    carried = [c for c in (schema.DATE,) if c in fields.columns]
+    carried = [c for c in (schema.DATE, RAW) if c in fields.columns]
     typed = fields.select(
         html.slug_brand(url).alias("marca"),
         html.first_spec(specs, [fixed.SPEC_MODEL], fixed.UNKNOWN_MODEL).alias("modelo"),
@@ -152,9 +172,9 @@ def parse_page_fields(fields: DataFrame) -> DataFrame:
     return _in_bronze_layout(typed, unreadable)
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
-    """(url, html) -> listings."""
-    return parse_page_fields(read_page_fields(pages))
+def parse_pages(pages: DataFrame, keep_raw: bool = False) -> DataFrame:
+    """(url, html) -> listings; keep_raw adds what a rejected page was, as JSON."""
+    return parse_page_fields(read_page_fields(pages, keep_raw))
 
 
 def accepted(listings: DataFrame) -> DataFrame:

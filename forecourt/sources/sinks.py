@@ -15,7 +15,8 @@ def create_schema(spark: SparkSession, table: str) -> None:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
 
 
-def _save(writer: DataFrameWriter, spark: SparkSession, target: str) -> None:
+def save(writer: DataFrameWriter, spark: SparkSession, target: str) -> None:
+    """To a path, or to a catalog table whose schema is created if it is missing."""
     if is_path(target):
         writer.save(target)
     else:
@@ -52,7 +53,7 @@ def write_by_date(
             return written.get["rows"]
     else:
         writer = writer.mode("append")
-    _save(writer.partitionBy(date_column), df.sparkSession, target)
+    save(writer.partitionBy(date_column), df.sparkSession, target)
     return written.get["rows"]
 
 
@@ -61,11 +62,11 @@ def overwrite(df: DataFrame, target: str, file_format: str = "parquet") -> None:
     writer = df.write.format(file_format).mode("overwrite")
     if file_format == "delta":
         writer = writer.option("overwriteSchema", "true")
-    _save(writer, df.sparkSession, target)
+    save(writer, df.sparkSession, target)
 
 
 def append(df: DataFrame, target: str, file_format: str = "parquet") -> None:
-    _save(df.write.format(file_format).mode("append"), df.sparkSession, target)
+    save(df.write.format(file_format).mode("append"), df.sparkSession, target)
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -205,3 +205,89 @@ def test_report_is_csv_with_a_header(spark, tmp_path):
     sinks.write_report(spark.range(2).select(F.col("id").alias("n")), str(tmp_path / "r"))
     text = "".join(p.read_text() for p in sorted((tmp_path / "r").glob("*.csv")))
     assert text.splitlines()[0] == "n" and "1" in text
+
+
+ENVELOPE = '{"motorbikes":[%s]}\n'
+RECORD = '{"id":%d,"brand":"%s","model":"m","year":%s,"kms":5,"price":900}'
+
+
+def landed_feed(folder, name, records):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(ENVELOPE % ",".join(RECORD % r for r in records))
+
+
+def test_a_second_run_takes_new_files_only(spark, tmp_path):
+    from forecourt.config import Tables
+    from forecourt.plans import medallion
+
+    where, day = Tables(root=str(tmp_path / "t")), dt.date(2024, 3, 1)
+    feed = tmp_path / "feed"
+    landed_feed(feed, "a.json", [(1, "A", 2010), (2, "B", 2011)])
+    spark.createDataFrame([("https://d.example/x/naked/b-1/", "<tr><th>a</th><td>b</td></tr>")], "url STRING, html STRING") \
+        .write.parquet(str(tmp_path / "pages"))
+    given = medallion.Landed(str(feed), str(tmp_path / "pages"))
+    first = medallion.ingest(given, where, day)
+    assert first[0].rows == 2 and sum(first[1].rejected.values()) == 1
+    assert medallion.ingest(given, where, day) == (medallion.Ingested(), medallion.Ingested())
+    landed_feed(feed, "b.json", [(3, "C", 2012)])
+    assert medallion.ingest(given, where, day)[0].rows == 1
+    landed_feed(feed, "b.json", [(3, "C", 2012), (4, "D", 2013)])
+    assert medallion.ingest(given, where, day)[0].rows == 2
+    bronze_rows = tables.read_table(spark, where.locate("bronze_feed"))
+    assert sorted(r.marca for r in bronze_rows.collect()) == ["A", "B", "C", "C", "D"]
+    again = medallion.ingest(given, where, day, replace_dates=True)
+    assert again[0].rows == 4 and tables.read_table(spark, where.locate("bronze_feed")).count() == 4
+
+
+def test_many_new_files_are_picked_by_their_rows(spark, tmp_path, monkeypatch):
+    from forecourt.sources import landed, ledger
+
+    monkeypatch.setattr(ledger, "NAMED", 0)
+    feed, target = tmp_path / "feed", str(tmp_path / "ledger")
+    landed_feed(feed, "a.json", [(1, "A", 2010)])
+    ledger.Unseen(spark, str(feed), target, "feed").record()
+    landed_feed(feed, "b.json", [(2, "B", 2010)])
+    unseen = ledger.Unseen(spark, str(feed), target, "feed")
+    assert unseen.count == 1 and unseen.paths() is None
+    assert [r.brand for r in landed.read_feed(spark, str(feed), only=unseen).collect()] == ["B"]
+    assert ledger.Unseen(spark, str(feed), target, "pages").count == 2
+
+
+def test_rejects_are_kept_and_tried_again(spark, tmp_path):
+    from forecourt.config import Tables
+    from forecourt.operators import extract, rejects
+    from forecourt.plans import medallion
+
+    where, day = Tables(root=str(tmp_path / "t")), dt.date(2024, 3, 1)
+    feed = tmp_path / "feed"
+    landed_feed(feed, "a.json", [(1, "A", 2010), (2, "", 2011), (3, "C", '"n/a"'), (4, "D", 1970)])
+    (feed / "c.json").write_text('{"motorb')
+    got = medallion.ingest(medallion.Landed(feed=str(feed)), where, day, keep_rejects=True)[0]
+    assert got.rows == 1 and got.rejected == {"no_brand": 1, "bad_year": 1, "old_year": 1, "bad_page": 1}
+    kept = tables.read_table(spark, where.locate("rejects"))
+    assert kept.count() == 4 and {r.ingestion_date for r in kept.collect()} == {day}
+    assert medallion.replay(spark, where, day) == (0, 0)
+    assert tables.read_table(spark, where.locate("rejects")).count() == 4
+
+    def lenient(records, keep_raw=False):
+        """A record without a brand is of an unknown one now."""
+        return extract.parse_feed(records.withColumn("brand", F.when(F.col("brand") != "", F.col("brand")).otherwise("X")), keep_raw)
+
+    moved = [rejects.replay(spark, "feed", where.locate("bronze_feed"), where.locate("rejects"), day, lenient) for _ in range(2)]
+    assert moved == [1, 0]
+    left = {r.reject_reason for r in tables.read_table(spark, where.locate("rejects")).collect()}
+    assert left == {"bad_year", "old_year", "bad_page"}
+    assert sorted(r.marca for r in tables.read_table(spark, where.locate("bronze_feed")).collect()) == ["A", "X"]
+
+
+def test_pages_that_are_rejected_keep_their_markup(spark, tmp_path):
+    from forecourt.operators import rejects
+
+    url, page = "https://d.example/x/naked/b-1/", "<tr><th>año</th><td>20O1</td></tr>"
+    raw = spark.createDataFrame([(url, page)], "url STRING, html STRING")
+    table, target = str(tmp_path / "rejects"), str(tmp_path / "bronze")
+    assert rejects.split(raw, "pages", target, table, dt.date(2024, 3, 1)) == (0, {"bad_year": 1})
+    import json
+
+    assert json.loads(spark.read.parquet(table).first().raw) == {"url": url, "html": page}
+    assert rejects.replay(spark, "pages", target, table) == 0 and spark.read.parquet(table).count() == 1
