@@ -21,7 +21,9 @@ whatever else is in the table.
 
 Defined cases: a null role or text is empty, a null turn comes first; rows of a
 null conversation number form one conversation; repeated rows are turns of their
-own; a part of an unknown kind is an error.
+own; a null part is nothing, a part without a kind is text; a part of an unknown
+kind is an error; very long texts stay whole; an empty table gives no rows; columns
+that are not named in the call are not read.
 """
 
 from __future__ import annotations
@@ -86,7 +88,8 @@ class Visitor:
         self.put(BEGIN + escape(role).replace("\n", "[n") + "\n")
         start = self.length
         for part in parts:
-            getattr(self, f"visit_{part['kind']}")(number, part)
+            if part is not None:
+                getattr(self, f"visit_{part['kind'] or 'text'}")(number, part)
         if role == self.trained:
             self.loss.append({"start": start, "end": self.length})
         self.put(END)

@@ -228,10 +228,13 @@ def report(docs: DataFrame, items: DataFrame, **names) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:
     """The rows of docs in which no window of an item occurs, with all their columns."""
     _, matches = match(docs, items, key, text, **names)
-    dirty = matches.select(F.col("id").alias("__id"), F.col("h").alias("__h")).distinct()
-    return docs.join(
-        dirty, staging.quoted(key).cast("long").eqNullSafe(F.col("__id"))
-        & (F.xxhash64(staging.quoted(text)) == F.col("__h")), "left_anti")
+    dirty = matches.select(F.col("id").alias("oid"), F.col("h").alias("oh")).distinct()
+    # A row of docs travels as one column, so that no name of its own meets one of these.
+    whole = docs.select(
+        F.struct(*[staging.quoted(c) for c in docs.columns]).alias("row"),
+        staging.quoted(key).cast("long").alias("id"), F.xxhash64(staging.quoted(text)).alias("h"))
+    return whole.join(
+        dirty, F.col("id").eqNullSafe(F.col("oid")) & (F.col("h") == F.col("oh")), "left_anti").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

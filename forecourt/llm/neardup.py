@@ -28,7 +28,8 @@ similarity of `percent` or more; documents joined by links form a group.
 Sets are held as 64-bit fingerprints of shingles, and only of classes that are in
 a pair.  Defined cases: null and empty texts have an empty set and are linked
 with nothing; a null document number comes after all others (a group without
-any number has none); rows of one number are documents of their own.
+any number has none); rows of one number are documents of their own; a very long
+text is read whole; an empty table gives no rows; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -384,18 +385,22 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     found = staging.stage(group(docs, key, text, percent), "grouped").filter("root IS NOT NULL")
     order = F.struct(F.col("id").isNull().alias("last"), "id", "h")
     chosen = found.groupBy("root").agg(F.min(order).alias("chosen")).select(
-        F.col("chosen.id").alias("__id"), F.col("chosen.h").alias("__h"))
+        F.col("chosen.id").alias("cid"), F.col("chosen.h").alias("ch"))
     rows = found.groupBy("id", "h").agg(F.count("*").alias("copies"))
-    several = rows.filter("copies > 1").select(F.col("id").alias("__id"), F.col("h").alias("__h"))
-    same = staging.quoted(key).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(staging.quoted(text)) == F.col("__h"))
+    several = rows.filter("copies > 1").select(F.col("id").alias("oid"), F.col("h").alias("oh"))
     out = rows.join(
-        chosen, F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")), "left_anti",
-    ).select(F.col("id").alias("__id"), F.col("h").alias("__h"))
-    left = docs.join(out, same, "left_anti")
+        chosen, F.col("id").eqNullSafe(F.col("cid")) & (F.col("h") == F.col("ch")), "left_anti",
+    ).select(F.col("id").alias("oid"), F.col("h").alias("oh"))
+    # A row of docs travels as one column, so that no name of its own meets one of these.
+    whole = docs.select(
+        F.struct(*[staging.quoted(c) for c in docs.columns]).alias("row"),
+        staging.quoted(key).cast("long").alias("id"), F.xxhash64(staging.quoted(text)).alias("h"))
+    same = F.col("id").eqNullSafe(F.col("oid")) & (F.col("h") == F.col("oh"))
+    left = whole.join(out, same, "left_anti")
     if several.isEmpty():
-        return left
-    repeated = left.join(several, same, "left_semi").withColumn("__h", F.xxhash64(staging.quoted(text)))
-    return left.join(several, same, "left_anti").unionByName(repeated.dropDuplicates([key, "__h"]).drop("__h"))
+        return left.select("row.*")
+    repeated = left.join(several, same, "left_semi").dropDuplicates(["id", "h"])
+    return left.join(several, same, "left_anti").unionByName(repeated).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ cover too large a share of its words, or where the longest repeat does.
 
 Defined cases: a null or empty text has no words, so it fails the base rules;
 repeated rows are judged one by one; columns of the input that are named like an
-output column are replaced by it.
+output column are replaced by it, others may have any name; a very long text is
+judged whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -174,22 +175,23 @@ def judge(docs: DataFrame, text: str = "text", limits: Limits = Limits(), carry:
     """The columns of docs (or those in `carry`) with the counts and the verdict."""
     held = docs.select(*[staging.quoted(c) for c in carry]) if carry is not None else \
         staging.without(docs, [f.name for f in OUTPUTS])
-    names = [staging.quoted(c) for c in held.columns]
-    rows = docs.select(*names, staging.quoted(text).cast("string").alias("__text"))
-    width = len(held.columns)
+    rows = docs.select(
+        F.struct(F.lit(True).alias("is"), F.struct(*[staging.quoted(c) for c in held.columns]).alias("row")).alias("held")
+        if held.columns else F.struct(F.lit(True).alias("is")).alias("held"),
+        staging.quoted(text).cast("string").alias("body"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = words.flat(batch.column(width))
+            data, offsets = words.flat(batch.column(1))
             found = [measure(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a], limits)
                      for a, b in words.portions(offsets)]
             if found:
                 columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:width], *columns],
-                    names=[*batch.schema.names[:width], *[f.name for f in OUTPUTS]])
+                    [batch.column(0), *columns], names=["held", *[f.name for f in OUTPUTS]])
 
-    return rows.mapInArrow(apply, T.StructType([*held.schema.fields, *OUTPUTS]))
+    judged = rows.mapInArrow(apply, T.StructType([rows.schema["held"], *OUTPUTS]))
+    return judged.select(*(["held.row.*"] if held.columns else []), *[f.name for f in OUTPUTS])
 
 
 def keep(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> DataFrame:

@@ -23,6 +23,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def address(spark: SparkSession, folder: str) -> str:
+    """The folder's whole address on the file system where Spark itself puts it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    whole = path.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+    return f"file://{whole.removeprefix('file:')}" if whole.startswith("file:/") and "://" not in whole else whole
+
+
 def stage(df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
     """The rows of df, written once and read again."""
     spark = df.sparkSession

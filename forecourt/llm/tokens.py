@@ -21,16 +21,20 @@ Encoding is by distinct word.  White space never joins two words' tokens, A-Z
 are lower-cased by the vocabulary itself, and a run of `.` or `,` after an ASCII
 letter or digit is a piece of its own; so words are brought to that form, each
 distinct one is encoded by the tokenizers library once, and documents are put
-together from the ids with numpy.
+together from the ids with numpy.  The vocabulary's own special strings stand for
+their ids wherever a text spells them, as the library has it: they cut a text into
+stretches before anything is lower-cased.
 
 Defined cases: a null or empty text is its end id alone; null numbers come first;
 rows of one number are ordered by a hash of their text; an empty table gives no
-files and no rows.
+files and no rows; a very long text is encoded whole, in portions of no other text;
+columns of the input besides number and text, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -168,7 +172,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(self.path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        # The library sees words alone, lower-cased: what spells a special string by then is ordinary text.
+        self.library.encode_special_tokens = True
+        added = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip
+               for t in self.library.get_added_tokens_decoder().values()):
+            raise ValueError("special strings that depend on what stands beside them are not supported")
+        self.special = {text.encode(): i for text, i in added.items() if text}
+        choice = b"|".join(re.escape(text) for text in sorted(self.special, key=len, reverse=True))
+        self.spelled, self.spelled_anywhere = re.compile(choice), re.compile(b"(?=" + choice + b")")
         self.forget()
 
     @property
@@ -182,6 +194,39 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each text)."""
+        starts, ends, found = self.spellings(data, offsets)
+        if not len(starts):
+            return self.encode_words(data, offsets)
+        # Stretches between special strings are texts of their own; one of a special string alone is its id.
+        cuts = np.unique(np.concatenate([starts, ends, offsets]))
+        special = np.full(len(cuts) - 1, -1, np.int64)
+        special[np.searchsorted(cuts, starts)] = found
+        lengths = np.diff(cuts)
+        plain = special < 0
+        ids, counts = self.encode_words(
+            data[np.repeat(plain, lengths)], np.concatenate([[0], np.cumsum(lengths[plain])]))
+        every = np.ones(len(special), np.int64)
+        every[plain] = counts
+        out = np.empty(int(every.sum()), np.uint32)
+        of_words = np.repeat(plain, every)
+        out[of_words], out[~of_words] = ids, special[~plain]
+        total = np.concatenate([[0], np.cumsum(every)])[np.searchsorted(cuts, offsets)]
+        return out, np.diff(total)
+
+    def spellings(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, ends, ids) of the special strings in the texts."""
+        out = []
+        held = data.tobytes()
+        if any(text in held for text in self.special):
+            at = np.array([m.start() for m in self.spelled_anywhere.finditer(held)], np.int64)
+            for doc in np.unique(words.owner(at, offsets)).tolist():
+                base = int(offsets[doc])
+                body = held[base: int(offsets[doc + 1])]
+                out += [(base + m.start(), base + m.end(), self.special[m[0]]) for m in self.spelled.finditer(body)]
+        return tuple(np.array(out, np.int64).reshape(-1, 3).T)
+
+    def encode_words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As encode, for texts without special strings."""
         data = words.lowered(data)
         starts, ends = words.spans(data, offsets, words.SPACED)
         starts, ends = split_stops(data, starts, ends)
@@ -304,7 +349,7 @@ def read(manifest: DataFrame) -> DataFrame:
 def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     """docs written as token files in a new shared folder and read back."""
     folder = staging.shared_folder(docs.sparkSession, "tokens")
-    return read(write(docs, folder if "://" in folder else f"file://{os.path.abspath(folder.removeprefix('file:'))}", tokenizer))
+    return read(write(docs, staging.address(docs.sparkSession, folder), tokenizer))
 
 
 def public_vocabulary() -> str:

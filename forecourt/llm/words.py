@@ -4,13 +4,15 @@ A text is its UTF-8 bytes.  All word classes here are complements of ASCII
 sets, so a byte of 0x80 or more is always part of a word and no code point is
 cut.  Fingerprints are 64-bit polynomial sums over randomly mapped symbols,
 scrambled at the end; equal sequences have equal fingerprints wherever they
-stand.
+stand.  Such sums agree for some long, highly regular strings (Thue-Morse), so
+byte ranges of more than PLAIN bytes are digested with BLAKE2b instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,8 @@ _LOWER[65:91] += 32
 _SYMBOLS = np.random.default_rng(0x5EED).integers(1, 2**63, 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_STEP), -1, 2**64))
+#: Bytes up to which a range's polynomial sum is its fingerprint.
+PLAIN = 64
 
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +117,14 @@ def _prefix(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """One value for each byte range."""
     total, back = _prefix(_SYMBOLS[data])
-    return mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    out = mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    long = np.flatnonzero(ends - starts > PLAIN)
+    if len(long):
+        held = memoryview(np.ascontiguousarray(data))
+        out[long] = np.frombuffer(b"".join(
+            blake2b(held[s:e], digest_size=8).digest()
+            for s, e in zip(starts[long].tolist(), ends[long].tolist(), strict=True)), np.uint64)
+    return out
 
 
 def grams(values: np.ndarray, k: int) -> np.ndarray:

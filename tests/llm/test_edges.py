@@ -86,6 +86,83 @@ def test_longest_repeats_equal_brute_force(texts, least):
     assert dict(zip(places.tolist(), lengths.tolist(), strict=True)) == want
 
 
+def thue_morse(steps):
+    """Two different strings whose polynomial sums modulo 2^64 are equal."""
+    a, b = "a", "b"
+    for _ in range(steps):
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.mark.parametrize("steps", [6, 10, 11, 13])
+def test_regular_strings_are_told_apart(steps):
+    a, b = thue_morse(steps)
+    data, offsets = words.flat(pa.array([f"{a}\n{b}\n{a}", f"{a} {b}"]))
+    starts, ends = words.spans(data, offsets, words.SPACED)
+    keys = words.fingerprints(data, starts, ends).tolist()
+    assert keys[0] == keys[2] == keys[3] and keys[1] == keys[4] != keys[0]
+    assert quality.measure(data, offsets, quality.Limits())[3].tolist() == [1, 0]
+    _, shingles = neardup.shingle_sets(*words.flat(pa.array([a, b])))
+    assert len(set(shingles.tolist())) == 2
+    made = tokens.encoder(tokens.public_vocabulary())
+    assert made.encode(data, offsets)[0].tolist() == [
+        i for t in (f"{a}\n{b}\n{a}", f"{a} {b}") for i in made.library.encode(t, add_special_tokens=False).ids]
+
+
+def plain_verdict(text, limits):
+    """kept, covered and longest by comparing every pair of places."""
+    said = text.split()
+    n = len(said)
+    seen = [tuple(said[i:i + 3]) for i in range(n - 2)]
+    repeated = {i + k for i, g in enumerate(seen) if seen.count(g) > 1 for k in range(3)}
+    covered, longest = set(), 0
+    for i in range(n):
+        best = 0
+        for j in range(n):
+            size = 0
+            while j != i and max(i, j) + size < n and said[i + size] == said[j + size]:
+                size += 1
+            best = max(best, size)
+        if best >= limits.least:
+            covered.update(range(i, i + best))
+            longest = max(longest, best)
+    failed = n < 50 or 100 * len(repeated) > 50 * n
+    return failed, len(covered), longest, not failed and len(covered) <= limits.covered * n and longest <= limits.longest * n
+
+
+def test_verdicts_equal_brute_force():
+    rng = np.random.default_rng(8)
+    texts = []
+    for k in range(60):
+        said = [f"w{x}" for x in rng.integers(0, 4000, 80 + k)]
+        for _ in range(k % 4):
+            size, a = int(rng.integers(6, 26)), int(rng.integers(0, 50))
+            at = int(rng.integers(0, len(said)))
+            said[at:at] = said[a:a + size]
+        texts.append(" ".join(said))
+    limits = quality.Limits()
+    columns = quality.measure(*words.flat(pa.array(texts)), limits)
+    got = list(zip(columns[7].tolist(), columns[5].tolist(), columns[6].tolist(), columns[8].tolist(), strict=True))
+    assert got == [plain_verdict(t, limits) for t in texts]
+    # The limits themselves decide on some, and keep others that repeat.
+    assert sum(not failed and not kept for failed, _, _, kept in got) >= 5
+    assert sum(kept and covered > 0 for _, covered, _, kept in got) >= 5
+
+
+def test_columns_of_any_name(spark):
+    ddl = "doc_id BIGINT, text STRING, __id BIGINT, __h STRING, __text STRING, row STRING, held STRING, body STRING, oid INT, source STRING"
+    rows = [(i, t, 7, "h", "t", "r", "l", "b", 1, "s") for i, t in [(1, PROSE), (1, PROSE), (2, PROSE), (3, "x"), (None, None)]]
+    docs = spark.createDataFrame(rows, ddl)
+    items = spark.createDataFrame([(1, " ".join(PROSE.split()[:12]))], "item_id BIGINT, text STRING")
+    judged = quality.judge(docs)
+    assert judged.columns[:10] == docs.columns and judged.count() == 5
+    assert same_rows(quality.keep(docs).collect(), [r for r in docs.collect() if r.text == PROSE])
+    left = neardup.deduplicate(docs)
+    assert left.columns == docs.columns and sorted(str(r.doc_id) for r in left.collect()) == ["1", "3", "None"]
+    clean = decontaminate.clean(docs, items)
+    assert clean.columns == docs.columns and sorted(str(r.doc_id) for r in clean.collect()) == ["3", "None"]
+
+
 def test_near_duplicates(odd, none):
     out = neardup.group(odd).collect()
     assert len(out) == 13
@@ -237,6 +314,32 @@ def test_encoding_by_word_equals_the_library(texts):
     assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+SPECIAL = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<", " ", "A b", ".", "é\u0301", "'s"]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(SPECIAL), max_size=8).map("".join), min_size=1, max_size=6))
+def test_special_strings_are_what_the_library_makes_of_them(texts):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokens.public_vocabulary())
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, lengths = tokens.encoder(tokens.public_vocabulary()).encode(*words.flat(pa.array(texts)))
+    assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_special_strings_in_files(spark):
+    docs = spark.createDataFrame([(1, "say <|endoftext|> now"), (2, "<|startoftext|>"), (3, "a")], "doc_id INT, text STRING")
+    out = sorted(tokens.encoded(docs, tokens.public_vocabulary()).collect(), key=lambda r: r.id)
+    assert [(r.start, r.n_tokens) for r in out] == [(0, 4), (4, 2), (6, 2)]
+
+
+def test_addresses_are_whole(spark, tmp_path):
+    assert staging.address(spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert staging.address(spark, f"file:{tmp_path}") == f"file://{tmp_path}"
+    assert staging.address(spark, f"file://{tmp_path}") == f"file://{tmp_path}"
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(1, 32), st.integers(0, 400), st.integers(0, 2**32))
 def test_packing_round_trip(bits, n, seed):
@@ -298,6 +401,9 @@ def test_chat_parts(spark):
         (0, "image", "a.png", 256), (0, "audio", "b.wav", 40), (1, "document", "c.pdf", 0)]
     assert all(r.formatted[a.at:].startswith(chat.PLACEHOLDERS[a.kind]) for a in r.attachments)
     assert r.expanded_tokens == 296
+    rows = [(2, 0, "user", [None, (None, "a", None, None), (None, None, None, None), ("image", None, None, None)]), (2, 1, "x", None)]
+    r = chat.format_conversations(spark.createDataFrame(rows, df.schema), parts="parts").first()
+    assert r.formatted == "<s>[TURN]user\na<image>[/TURN][TURN]x\n[/TURN]</s>"
 
 
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
