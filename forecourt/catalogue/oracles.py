@@ -303,6 +303,7 @@ SELECT {_CLEANED} FROM required WHERE required.precio BETWEEN 100 AND 100000
 SELECT {_CLEANED} FROM dirty_latest d WHERE d.precio BETWEEN 100 AND 100000
  AND anio BETWEEN 1980 AND {_AS_OF} AND km >= 0"""),
     "silver": _sql("silver", body=f"SELECT {_SHOWN} FROM silver"),
+    "silver_by_bucket": _sql("silver", body=f"SELECT {_SHOWN} FROM silver"),
     # gold
     "feat_age": _sql("gold", body="SELECT url_anuncio, edad_anios FROM gold"),
     "feat_km_bucket": _sql("dirty_cast", body="""

@@ -15,7 +15,7 @@ from forecourt.catalogue.fixtures import AS_OF_YEAR, Inputs
 from forecourt.config import BOOST, FOREST, Tables, Training
 from forecourt.functions import html, numbers
 from forecourt.learning import evaluation, features, runs, split, training
-from forecourt.operators import bronze, extract, gold, links, quality, silver
+from forecourt.operators import bronze, extract, gold, links, quality, silver, silver_buckets
 from forecourt.plans import medallion
 from forecourt.sources import landed, sinks, tables
 from forecourt.sources.scratch import scratch_folder
@@ -327,6 +327,22 @@ def silver_clean(d: Inputs) -> DataFrame:
     return shown(silver.to_silver(d.dirty, as_of_year=AS_OF_YEAR), CLEANED)
 
 
+@query
+def silver_by_bucket(d: Inputs) -> DataFrame:
+    """Raw rows arriving in three stretches of days, each merged into the buckets it touches."""
+    folder = scratch_folder(d.spark, "buckets")
+    for name, rows in (("feed", d.bronze_feed), ("pages", d.bronze_pages)):
+        bronze.append_bronze(rows, f"{folder}/{name}", keep_dates=True)
+    feed, pages = (bronze.scan_bronze(d.spark, f"{folder}/{name}") for name in ("feed", "pages"))
+    day = F.col(schema.DATE)
+    first, second = F.lit(dt.date(1994, 1, 1)), F.lit(dt.date(1998, 1, 1))
+    target = f"{folder}/silver"
+    silver_buckets.rebuild(target, 64, feed.filter(day < first), pages.filter(day < first))
+    for stretch in ((day >= second), (day >= first) & (day < second)):
+        silver_buckets.merge(target, 64, feed.filter(stretch), pages.filter(stretch))
+    return shown(silver_buckets.clean_rows(d.spark, target, 64, AS_OF_YEAR), BRONZE_SHOWN)
+
+
 def _silver(d: Inputs) -> DataFrame:
     return shown(d.silver, BRONZE_SHOWN)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -36,20 +37,59 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+def at(spark: SparkSession, folder: str) -> tuple:
+    """(file system, path) of a folder or file."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def exists(spark: SparkSession, target: str) -> bool:
     if not is_path(target):
         return spark.catalog.tableExists(target)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    system, path = at(spark, target)
+    return system.exists(path)
 
 
-def discard(spark: SparkSession, target: str) -> None:
-    """Drop a table, or delete its folder."""
-    if not is_path(target):
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
+def forget_empty(spark: SparkSession, folder: str) -> None:
+    """Take away a folder that holds nothing but the marker of a finished write.
+
+    Nothing is deleted recursively: where another writer has put its files meanwhile, they stay.
+    """
+    system, path = at(spark, folder)
+    if not system.exists(path) or [s.getPath().getName() for s in system.listStatus(path)] != ["_SUCCESS"]:
         return
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    system.delete(at(spark, f"{folder.rstrip('/')}/_SUCCESS")[1], False)
+    try:
+        system.delete(path, False)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() not in ("IOException", "PathIsNotEmptyDirectoryException"):
+            raise
+
+
+_MARK = "_replacing"
+
+
+def mark(spark: SparkSession, target: str) -> None:
+    """Note on a table that parts of it are being replaced."""
+    if is_path(target):
+        system, path = at(spark, f"{target.rstrip('/')}/{_MARK}")
+        system.create(path, True).close()
+    else:
+        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{_MARK}' = 'true')")
+
+
+def unmark(spark: SparkSession, target: str) -> None:
+    if is_path(target):
+        system, path = at(spark, f"{target.rstrip('/')}/{_MARK}")
+        system.delete(path, False)
+    else:
+        spark.sql(f"ALTER TABLE {target} UNSET TBLPROPERTIES IF EXISTS ('{_MARK}')")
+
+
+def marked(spark: SparkSession, target: str) -> bool:
+    if is_path(target):
+        return exists(spark, f"{target.rstrip('/')}/{_MARK}")
+    return any(r.key == _MARK for r in spark.sql(f"SHOW TBLPROPERTIES {target}").collect())
 
 
 def optional_table(

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from forecourt import schema
 from forecourt.config import Tables
-from forecourt.operators import bronze, gold, silver
+from forecourt.operators import bronze, gold, silver, silver_buckets
+from forecourt.plans import medallion
 from forecourt.sources import scratch, sinks, tables
 
 DAY = dt.date(2024, 1, 1)
@@ -291,3 +292,66 @@ def test_pages_that_are_rejected_keep_their_markup(spark, tmp_path):
 
     assert json.loads(spark.read.parquet(table).first().raw) == {"url": url, "html": page}
     assert rejects.replay(spark, "pages", target, table) == 0 and spark.read.parquet(table).count() == 1
+
+
+def files_of(folder):
+    return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_merged_buckets_equal_a_rebuild(bronze_of, spark, tmp_path):
+    days = [
+        [{"url_anuncio": f"u{i}", "km": i} for i in range(60)],
+        [{"url_anuncio": "u3", "precio": 5.0}, {"url_anuncio": "u4", "km": 9}, {"url_anuncio": None}, {"url_anuncio": "x1"}],
+        [{"url_anuncio": "u3", "km": 77}, {"url_anuncio": None, "km": 1}, {"url_anuncio": "u5", "marca": None}],
+    ]
+    frames = [bronze_of(*[{**r, "ingestion_date": DAY + dt.timedelta(days=k)} for r in rows]) for k, rows in enumerate(days)]
+    target = str(tmp_path / "silver")
+    silver_buckets.rebuild(target, 32, frames[0])
+    so_far = frames[0]
+    for df in frames[1:]:
+        before = files_of(tmp_path / "silver")
+        touched = silver_buckets.merge(target, 32, df, None)
+        after = files_of(tmp_path / "silver")
+        kept = {f for f in before if not any(f.startswith(f"bucket_of_32={b}/") for b in touched)}
+        assert 0 < len(touched) < 5 and kept and all(after[f] == before[f] for f in kept)
+        so_far = so_far.union(df)
+        for year in (2009, 2024):
+            want = sorted(silver.to_silver(so_far, as_of_year=year).collect(), key=str)
+            assert sorted(silver_buckets.clean_rows(spark, target, 32, year).collect(), key=str) == want
+    whole = sorted(silver_buckets.clean_rows(spark, target, 32, 2024).collect(), key=str)
+    silver_buckets.merge(target, 32, frames[1])  # rows merged before change nothing
+    assert sorted(silver_buckets.clean_rows(spark, target, 32, 2024).collect(), key=str) == whole
+    assert silver_buckets.merge(target, 32, frames[0].limit(0)) == []
+    with pytest.raises(silver_buckets.OtherBuckets):
+        silver_buckets.merge(target, 16, frames[1])
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_refresh_merges_what_is_new_and_rebuilds_after_an_interruption(bronze_of, spark, tmp_path, catalog):
+    where = Tables(schema="kept_by_bucket", silver_buckets=16) if catalog else Tables(root=str(tmp_path), silver_buckets=16)
+    feed, target = where.locate("bronze_feed"), where.locate("silver")
+    bronze.append_bronze(bronze_of(*[{"url_anuncio": f"u{i}"} for i in range(40)]), feed, DAY)
+    assert medallion.refresh_silver(spark, where, 2024) is None
+    assert medallion.refresh_silver(spark, where, 2024) == []
+    bronze.append_bronze(bronze_of({"url_anuncio": "u1", "km": 8}), feed, DAY + dt.timedelta(days=1))
+    bronze.append_bronze(bronze_of({"url_anuncio": "p"}), where.locate("bronze_pages"), DAY)
+    assert 1 <= len(medallion.refresh_silver(spark, where, 2024)) <= 16
+    tables.mark(spark, target)
+    assert silver_buckets.interrupted(spark, target)
+    assert medallion.refresh_silver(spark, where, 2024) is None and not silver_buckets.interrupted(spark, target)
+    rows = {r.url_anuncio: r.km for r in medallion.read_silver(spark, where, 2024).collect()}
+    assert len(rows) == 41 and rows["u1"] == 8 and rows["p"] == 100
+    medallion.refresh_gold(spark, where, 2024)
+    assert tables.read_table(spark, where.locate("gold")).count() == 41
+
+
+def test_nothing_valid_leaves_what_others_wrote(bronze_of, spark, tmp_path):
+    target = tmp_path / "raw"
+    assert bronze.append_bronze(bronze_of({"km": -1}), str(target), DAY) == 0 and not target.exists()
+    target.mkdir()
+    (target / "_SUCCESS").touch()
+    (target / "other.parquet").touch()
+    tables.forget_empty(spark, str(target))
+    assert sorted(p.name for p in target.iterdir()) == ["_SUCCESS", "other.parquet"]
+    assert bronze.append_bronze(bronze_of({"km": -1}), "spark_catalog.default.nothing_valid", DAY) == 0
+    assert not spark.catalog.tableExists("spark_catalog.default.nothing_valid")
