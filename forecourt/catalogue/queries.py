@@ -332,15 +332,15 @@ def silver_by_bucket(d: Inputs) -> DataFrame:
     """Raw rows arriving in three stretches of days, each merged into the buckets it touches."""
     folder = scratch_folder(d.spark, "buckets")
     for name, rows in (("feed", d.bronze_feed), ("pages", d.bronze_pages)):
-        bronze.append_bronze(rows, f"{folder}/{name}", keep_dates=True)
-    feed, pages = (bronze.scan_bronze(d.spark, f"{folder}/{name}") for name in ("feed", "pages"))
+        sinks.overwrite(rows, f"{folder}/{name}")
+    feed, pages = (tables.read_table(d.spark, f"{folder}/{name}") for name in ("feed", "pages"))
     day = F.col(schema.DATE)
-    first, second = F.lit(dt.date(1994, 1, 1)), F.lit(dt.date(1998, 1, 1))
+    first, second = F.lit(dt.date(1997, 1, 1)), F.lit(dt.date(1999, 1, 1))
     target = f"{folder}/silver"
-    silver_buckets.rebuild(target, 64, feed.filter(day < first), pages.filter(day < first))
+    silver_buckets.rebuild(target, 16, feed.filter(day < first), pages.filter(day < first))
     for stretch in ((day >= second), (day >= first) & (day < second)):
-        silver_buckets.merge(target, 64, feed.filter(stretch), pages.filter(stretch))
-    return shown(silver_buckets.clean_rows(d.spark, target, 64, AS_OF_YEAR), BRONZE_SHOWN)
+        silver_buckets.merge(target, 16, feed.filter(stretch), pages.filter(stretch))
+    return shown(silver_buckets.clean_rows(d.spark, target, 16, AS_OF_YEAR), BRONZE_SHOWN)
 
 
 def _silver(d: Inputs) -> DataFrame:
