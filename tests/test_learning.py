@@ -235,6 +235,18 @@ def test_run_table(spark, tmp_path):
         (f"r{i}", float(i), 0.0) for i in (6, 5, 4, 3, 2)]
 
 
+def test_runs_at_the_same_time_have_versions_of_their_own(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    table, folder = str(tmp_path / "runs"), str(tmp_path / "versions")
+
+    def claim(i):
+        return runs.claim_version(spark, table, "m", folder, f"{i:032x}")
+
+    with ThreadPoolExecutor(8) as pool:
+        assert sorted(pool.map(claim, range(24))) == list(range(1, 25))
+
+
 def test_training_run_leaves_everything_behind(spark, priced, tmp_path):
     table = str(tmp_path / "runs")
     plan = Training(output_dir=str(tmp_path / "out"), folds=2, models=(
