@@ -15,7 +15,8 @@ have their ratios weighted by ARTICLE_WEIGHT before that.
 
 What is never content: head, scripts, styles, menus, headers, footers, asides,
 forms and buttons, hidden elements, and elements whose class, id or role names
-an advert, a notice, a sidebar, a menu, sharing or reader comments.
+an advert, a notice, a sidebar, a menu, sharing or reader comments and nothing
+else: a name with a word of its own beside that (`entry-header`) hides nothing.
 
 Defined cases: a null or empty page, and one without text, gives an empty text;
 unclosed and stray tags are tolerated much as browsers do (a block ends an open
@@ -49,10 +50,21 @@ BLOCKS = frozenset(
     "th thead title tr ul".split())
 REGIONS = frozenset("article body div main section td th".split())
 ARTICLES = frozenset(("article", "main"))
-CLUTTER_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notices?|popup|modal|newsletter|"
-    r"subscri\w+|sidebar|side|aside|menu|nav\w*|breadcrumbs?|header|masthead|footer|share|sharing|social|related|"
-    r"recommend\w*|comments?|respond|replies|disqus|widget)(?:$|[\s_-])", re.IGNORECASE)
+#: Parts of class names and ids: what names clutter, and what only says where or in what form it stands.
+CLUTTER_WORDS = re.compile(
+    r"ads?|advert\w*|banners?|promo|promos|promoted|promotions?|sponsor|sponsored|sponsors|cookies?|consent|notices?|"
+    r"popups?|modal|newsletter|subscribe|subscription|subscriptions|sidebar|side|aside|menu|menus|nav|navbar|navigation|"
+    r"breadcrumbs?|header|masthead|footer|share|sharing|social|related|recommend\w*|comments?|respond|replies|disqus|"
+    r"widgets?")
+PLAIN_WORDS = frozenset(
+    "area bar block body bottom box button buttons center column container content form global group holder icons inner "
+    "item items left line link links list local main media mobile outer page panel post posts primary rail region right "
+    "row secondary section sign signup site slot sticky strip text thread title toolbar top unit up web wrap "
+    "wrapper".split())
+#: With one of these a header is that of a text, not of a site.
+TITLED = frozenset("body content item post section text title".split())
+#: Words of a name: runs of letters, cut before capitals; figures do not count.
+NAME_PARTS = re.compile(r"[^\W\d_A-Z]+|[A-Z]+(?![^\W\d_A-Z])|[A-Z][^\W\d_A-Z]+")
 CLUTTER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 #: Elements that an end tag, or the search for a paragraph to end, does not reach out of.
@@ -109,6 +121,22 @@ class Line:
     tags: int = 0
 
 
+def names_clutter(value: str) -> bool:
+    """Whether one of the names in a class or id says clutter and nothing else.
+
+    `site-footer` and `adSlot2` do; `entry-header`, `share-price` and `promotions-history` name something of their own,
+    and `post-header` the heading of a text.
+    """
+    for name in value.split():
+        parts = [part.lower() for part in NAME_PARTS.findall(name)]
+        said = [part for part in parts if CLUTTER_WORDS.fullmatch(part)]
+        if not said or not all(part in PLAIN_WORDS for part in parts if part not in said):
+            continue
+        if not {"header", "masthead"}.issuperset(said) or TITLED.isdisjoint(parts):
+            return True
+    return False
+
+
 def is_clutter(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
     if tag in CLUTTER:
         return True
@@ -117,7 +145,7 @@ def is_clutter(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
             return True
         if name == "role" and value and value.lower() in CLUTTER_ROLES:
             return True
-        if name in ("class", "id") and value and tag not in ("html", "body") and CLUTTER_NAMES.search(value):
+        if name in ("class", "id") and value and tag not in ("html", "body") and names_clutter(value):
             return True
         if name == "style" and value and "display:none" in value.replace(" ", "").lower():
             return True

@@ -464,6 +464,22 @@ def test_html_hidden_elements_end_where_browsers_end_them(page, want):
     assert extract_html.main_text(f"<article>{page}</article>") == want
 
 
+@pytest.mark.parametrize(("name", "hides"), [
+    ("ad", True), ("ADS", True), ("adSlot2", True), ("site-footer", True), ("page_header", True), ("cookie-notice", True),
+    ("comment-body", True), ("related-posts", True), ("newsletter-title", True), ("card sidebar-left", True),
+    ("", False), ("2024", False), ("entry-header", False), ("post-header", False), ("section-header", False),
+    ("share-price", False), ("promotions-history", False), ("recommended-dose", False), ("sideEffects", False),
+    ("navigational-stars", False), ("comments-on-aristotle", False), ("main content", False),
+])
+def test_html_names_hide_only_where_they_say_nothing_else(name, hides):
+    assert extract_html.names_clutter(name) is hides
+    said = "A sentence of the article that is long enough to be told from its surroundings. " * 3
+    page = f"<body><article><p>{said}</p><div class='{name}'><p>{said}Inside.</p></div><p>{said}</p></article></body>"
+    assert ("Inside." in extract_html.main_text(page)) is not hides
+    by_id = f"<body><article><p>{said}</p><section id='{name}'><p>{said}Inside.</p></section></article></body>"
+    assert ("Inside." in extract_html.main_text(by_id)) is not hides
+
+
 def test_html_many_open_and_stray_tags_take_linear_time():
     page = "<ul><li><ul>" + "<div>" * 20_000 + "<li></li></p></td>" * 20_000 + "<p class=ad><b>" * 5_000 + "</section>" * 20_000
     assert extract_html.main_text(page + f"<p>{PARAGRAPHS[0]}") == PARAGRAPHS[0]
