@@ -51,6 +51,8 @@ from forecourt.llm import staging, words
 BLOCK = 1 << 16
 MAGIC = b"bitpack1"
 CACHE_WORDS = 1 << 20
+#: Bytes of text encoded at once; the arrays meanwhile take about sixty times as much.
+PORTION = 1 << 20
 MANIFEST_DDL = "shard INT, path STRING, n_docs BIGINT, n_ids BIGINT"
 
 
@@ -305,7 +307,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, key: st
             while batch is not None:
                 numbers = batch.column(0).to_pylist()
                 data, offsets = words.flat(batch.column(1))
-                for a, b in words.portions(offsets, 4 << 20):
+                for a, b in words.portions(offsets, PORTION):
                     ids, lengths = made.encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
                     closed = np.full(len(ids) + len(lengths), end_id, np.uint32)
                     closed[np.arange(len(ids)) + np.repeat(np.arange(len(lengths)), lengths)] = ids

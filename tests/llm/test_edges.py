@@ -589,3 +589,23 @@ def test_words_equal_the_pattern(texts):
     assert found == want
     values = words.fingerprints(data, starts, ends)
     assert len(set(values.tolist())) == len(set(want))
+
+
+def test_token_encoding_holds_little_at_once():
+    """Portions of 4 MB took some 200 MB more of every worker; all workers of an executor stand beside its JVM."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from forecourt.llm import tokens, words
+
+    made = tokens.Encoder(tokens.public_vocabulary())
+    data, offsets = words.flat(pa.array(["one two three four five. " * 400] * 600))
+    tracemalloc.start()
+    try:
+        parts = [made.encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])[0].sum()
+                 for a, b in words.portions(offsets, tokens.PORTION)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(parts) > 5 and peak < 120 << 20
