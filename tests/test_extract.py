@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 import time
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from forecourt import schema
 from forecourt.functions import pages
-from forecourt.operators import extract, links
+from forecourt.operators import extract, links, silver
 from forecourt.sources import landed
 from page_parser import read_page
 
@@ -250,3 +251,33 @@ def test_pages_are_parsed_once(spark):
                                f"url STRING, html STRING, {schema.DATE} DATE")
     plan = extract.accepted(extract.parse_pages(df))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1
+
+
+def compiled_sizes(df, capsys):
+    """Bytes of the largest method Java gets for each part of the plan."""
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")  # else parts show once they have run
+    try:
+        capsys.readouterr()
+        df.explain("codegen")
+        return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_reading_listings_is_code_that_java_compiles(spark, capsys):
+    """A method of more than 8,000 bytes is interpreted for good, several times slower."""
+    records = spark.createDataFrame([GOOD] * 3, FEED).selectExpr("*", "current_date() AS ingestion_date").repartition(2)
+    pages_in = spark.createDataFrame([("http://x/a/b-1/", "<p>")], "url STRING, html STRING").repartition(2)
+    for listings in (extract.parse_feed(records), extract.parse_pages(pages_in)):
+        sizes = compiled_sizes(extract.accepted(listings), capsys)
+        assert sizes and max(sizes) < 6000
+
+
+def test_numbers_are_read_once_a_record(spark):
+    """No later filter copies the reading of a number to where it stands."""
+    records = spark.createDataFrame([GOOD], FEED).repartition(2)
+    plan = silver.to_silver(extract.accepted(extract.parse_feed(records)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(kms#") == 1
+    assert plan.count("regexp_extract(price#") == 1
