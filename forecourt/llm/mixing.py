@@ -195,8 +195,8 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     once.  Rows of one key, text and source share their copies evenly.
     """
     same = ["id", "h", "source"]
-    planned = staging.stage(
-        mix(docs, key, text, source, **options).groupBy(*same)
+    planned = staging.stage_alone(
+        docs.sparkSession, lambda: mix(docs, key, text, source, **options).groupBy(*same)
         .agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
         .select(*[F.col(c).alias(f"p_{c}") for c in same], "copies", "rows"), "copies")
     whole = F.struct(*[staging.quoted(c) for c in docs.columns]).alias("row")

@@ -382,7 +382,8 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """One row of each group, with all its columns; rows without shingles all stay."""
-    found = staging.stage(group(docs, key, text, percent), "grouped").filter("root IS NOT NULL")
+    found = staging.stage_alone(
+        docs.sparkSession, lambda: group(docs, key, text, percent), "grouped").filter("root IS NOT NULL")
     order = F.struct(F.col("id").isNull().alias("last"), "id", "h")
     chosen = found.groupBy("root").agg(F.min(order).alias("chosen")).select(
         F.col("chosen.id").alias("cid"), F.col("chosen.h").alias("ch"))

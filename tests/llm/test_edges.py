@@ -609,3 +609,16 @@ def test_token_encoding_holds_little_at_once():
     finally:
         tracemalloc.stop()
     assert len(parts) > 5 and peak < 120 << 20
+
+
+def test_what_a_stage_wrote_on_its_way_is_deleted(spark):
+    docs = spark.createDataFrame(
+        [(i, " ".join(f"w{i % 7}x{k}" for k in range(60)), "abc"[i % 3]) for i in range(40)],
+        "doc_id LONG, text STRING, source STRING")
+    staging.release(spark)
+    kept = neardup.deduplicate(docs)
+    mixed = mixing.mixed(docs)
+    left = [name.rsplit("/", 1)[-1].split("-")[0] for _, name in staging._MADE[spark.sparkContext.applicationId]]
+    assert set(left) <= {"grouped", "copies", "placed", "ordered"}
+    assert kept.count() == 7
+    assert {r.doc_id for r in mixed.collect()} <= set(range(40))
