@@ -66,3 +66,23 @@ def test_well_nested_pages_are_not_read_one_by_one(monkeypatch):
     specs, prices = page_batches.read_pages(pa.array([page.format(i) for i in range(3000)]))
     assert specs.to_pylist() == [[("año", str(i))] for i in range(3000)]
     assert prices.to_pylist() == [f"{i},5\xa0€" for i in range(3000)]
+
+
+def test_bytes_are_looked_through_once_for_marks(monkeypatch):
+    """Each further scan of all bytes, and each table look-up by letter, was paid on every page."""
+    scanned, found = [], page_batches.np.flatnonzero
+    page = '<TABLE><tr class="x"><TH>A</TH><td title=\'y\'>1</td></tr></TABLE>'
+    n = 500 * len(page)
+    monkeypatch.setattr(page_batches.np, "flatnonzero", lambda a: scanned.append(len(a) == n) or found(a))
+    specs, _ = page_batches.read_pages(pa.array([page] * 500))
+    assert specs.to_pylist() == [[("a", "1")]] * 500
+    assert sum(scanned) == 1
+
+
+def test_names_with_every_byte():
+    """Any character before, inside and after a name, in names shorter and longer than eight letters."""
+    signs = [chr(c) for c in range(256)]
+    compared([
+        f"<tr><th>a</th>{tag}</tr>" for c in signs for tag in (
+            f"<td{c}>v</td{c}>", f"<t{c}d>v</td>", f"<{c}td>v</td>", f"<td {c}>v</td>", f"<TD>v</TD{c}x>",
+            f"<blockqu{c}>v</blockqu{c}>", f"<blockquo{c}><td>v</td></blockquo{c}>")])
