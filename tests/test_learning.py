@@ -214,6 +214,13 @@ def test_partitions_follow_the_number_of_rows_alone():
     assert [training.partitions_for(n) for n in (0, 1, 2_001, 40_000, 10**6, 10**9)] == [1, 1, 2, 20, 32, 20_000]
 
 
+def test_boosting_reads_few_partitions():
+    """At 30 million rows each of 250 passes started 610 tasks."""
+    totals = (1, 2_001, 10**6, 3 * 10**6, 30_500_000, 10**9)
+    assert [training.partitions_to_fit(training.boost(), n) for n in totals] == [1, 2, 32, 32, 122, 4_000]
+    assert [training.partitions_to_fit(training.forest(), n) for n in totals] == [training.partitions_for(n) for n in totals]
+
+
 def test_metrics_are_bit_equal_in_any_layout(priced):
     train, test = split.split(split.training_rows(priced))
     predictions = evaluation.mean_price_by(train, test).cache()
