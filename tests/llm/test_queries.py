@@ -18,7 +18,7 @@ SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "benchmark", "conversations", "pages"):
+    for name in ("documents", "benchmark", "conversations", "pages", "embeddings"):
         connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
     return connection
 
