@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forecourt import schema
+from forecourt.catalogue.fixtures import Inputs
 from forecourt.config import Tables
 from forecourt.operators import bronze, gold, silver, silver_buckets
 from forecourt.plans import medallion
@@ -355,3 +356,20 @@ def test_nothing_valid_leaves_what_others_wrote(bronze_of, spark, tmp_path):
     assert sorted(p.name for p in target.iterdir()) == ["_SUCCESS", "other.parquet"]
     assert bronze.append_bronze(bronze_of({"km": -1}), "spark_catalog.default.nothing_valid", DAY) == 0
     assert not spark.catalog.tableExists("spark_catalog.default.nothing_valid")
+
+
+def test_a_merge_leaves_no_scratch_tables(spark, tmp_path):
+    """Each merge left a copy of its rows and one of the buckets it touched."""
+    rows = Inputs(spark, SMALL).bronze_feed.limit(200)
+    target = str(tmp_path / "silver")
+    silver_buckets.rebuild(target, 4, rows)
+    named = list(scratch._named)
+    for batch in (rows, rows.limit(0)):
+        silver_buckets.merge(target, 4, batch)
+    assert scratch._named == named
+    folder = scratch.scratch_folder(spark, "x")
+    sinks.overwrite(rows, f"{folder}/inner")
+    for gone in (f"{folder}/inner", folder):
+        scratch.release(spark, gone)
+        assert not tables.exists(spark, gone)
+    assert scratch._named == named
