@@ -360,7 +360,7 @@ def test_nothing_valid_leaves_what_others_wrote(bronze_of, spark, tmp_path):
 
 def test_a_merge_leaves_no_scratch_tables(spark, tmp_path):
     """Each merge left a copy of its rows and one of the buckets it touched."""
-    rows = Inputs(spark, SMALL).bronze_feed.limit(200)
+    rows = Inputs(spark, "/root/testdata/sf0.001").bronze_feed.limit(200)
     target = str(tmp_path / "silver")
     silver_buckets.rebuild(target, 4, rows)
     named = list(scratch._named)
